@@ -48,14 +48,15 @@ def topk_then_join(
 
 def fact_by_place(
     fact: DataFrame, dim: DataFrame, place: str, measures: Mapping[str, Column], month: str | None = None,
-    n_fact: str = "n_fact",
+    n_fact: str = "n_fact", weight: str | None = None,
 ) -> DataFrame:
     """Fact counts next to a dimension's measures, per place and optionally month.
 
-    Both sides are aggregated on the join keys first, so the join is one row to one row.
+    Both sides are aggregated on the join keys first, so the join is one row to one row. A fact that
+    was already counted per some finer key gives its counts as ``weight``.
     """
     keys = [place, month] if month else [place]
-    counted = fact.groupBy(*keys).agg(F.count("*").alias(n_fact))
+    counted = fact.groupBy(*keys).agg((F.sum(weight) if weight else F.count("*")).alias(n_fact))
     measured = dim.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
     return counted.join(measured, keys)
 

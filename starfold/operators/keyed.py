@@ -32,18 +32,19 @@ def upsert_partial(
     ``first_wins`` columns keep the value a key was first seen with. The latest ``order`` values are
     kept, so the result can be the base of the next batch. Applying a batch twice changes nothing.
     """
-    both = _both(base, delta, [*keys, *first_wins, *last_wins, *order])
+    kept = [*last_wins, *[c for c in order if c not in (*keys, *first_wins, *last_wins)]]
+    both = _both(base, delta, [*keys, *first_wins, *kept])
     when = F.struct("__side", *order)
     return (
         both.groupBy(*keys)
         .agg(
             F.min_by(F.struct(*first_wins), when).alias("__first"),
-            F.max_by(F.struct(*last_wins, *order), when).alias("__last"),
+            F.max_by(F.struct(*kept), when).alias("__last"),
         )
         .select(
             *keys,
             *[F.col(f"__first.{c}").alias(c) for c in first_wins],
-            *[F.col(f"__last.{c}").alias(c) for c in [*last_wins, *order]],
+            *[F.col(f"__last.{c}").alias(c) for c in kept],
         )
     )
 
