@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators.joins import spread_join
+from starfold.operators.joins import count_through, spread_join
 
 
 def top_k(df: DataFrame, measure: str, k: int, tie: Sequence[str]) -> DataFrame:
@@ -18,13 +18,10 @@ def top_k(df: DataFrame, measure: str, k: int, tie: Sequence[str]) -> DataFrame:
 
 def top_played(plays: DataFrame, songs: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most played titles. ``plays`` are counted per song before they are joined."""
-    per_song = plays.filter(F.col("songplay_id").isNotNull()).groupBy("song_id").agg(F.count("*").alias("__n"))
-    per_title = (
-        spread_join(per_song, songs.select("song_id", "title"), "song_id")
-        .groupBy(F.col("title").alias("song_title"))
-        .agg(F.sum("__n").alias("played_freq"))
+    counted = count_through(
+        plays.filter(F.col("songplay_id").isNotNull()), "song_id", songs, "song_id", ["title"], "played_freq"
     )
-    return top_k(per_title, "played_freq", k, ["song_title"])
+    return top_k(counted.withColumnRenamed("title", "song_title"), "played_freq", k, ["song_title"])
 
 
 def topk_then_join(

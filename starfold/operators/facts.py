@@ -60,35 +60,29 @@ def with_hash_key(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     return df.withColumn(key, F.md5(F.concat(*[F.col(c).cast("string") for c in cols])))
 
 
-def with_row_id(
-    df: DataFrame, order: Sequence[str], key: str = "row_id", start: int = 1, unique: bool = False
-) -> DataFrame:
+def with_row_id(df: DataFrame, order: Sequence[str], key: str = "row_id", start: int = 1) -> DataFrame:
     """Number the rows ``start, start + 1, ...`` in ``order``, without gaps and without one big task.
 
     The rows are range-partitioned and sorted in parallel, then written to the shared folder with
     their partition and position. The count of each partition gives the next one's offset; that
     little table has one row per shuffle partition. Since positions are stored, a lost executor
-    cannot change them. ``unique`` says that ``order`` has no ties; otherwise rows are numbered in
-    stored input order first, so that even a third of all rows sharing one time is split evenly.
+    cannot change them. Rows that tie on ``order`` are ranged by the input partition they come from,
+    so that even a third of all rows sharing one time is split over many tasks.
     """
     spark = df.sparkSession
-    order = list(order)
-    if not unique:
-        staged = scratch_dir(spark, "rowid-input")
-        df.withColumn("__pos", F.monotonically_increasing_id()).write.parquet(staged)
-        df = spark.read.parquet(staged)
-        order.append("__pos")
-    sorted_path = scratch_dir(spark, "rowid-sorted")
+    by = [*order, "__from"]
+    path = scratch_dir(spark, "row-id")
     (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("__pos")
+        df.withColumn("__from", F.spark_partition_id())
+        .repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .drop("__from")
         .withColumn("__part", F.spark_partition_id())
         # the low 33 bits of this id count the rows of a partition
         .withColumn("__off", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .write.parquet(sorted_path)
+        .write.parquet(path)
     )
-    ranged = spark.read.parquet(sorted_path)
+    ranged = spark.read.parquet(path)
     sizes = ranged.groupBy("__part").agg((F.max("__off") + 1).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starfold.operators.dims import first_per_key, latest_per_key
 
-__all__ = ["first_per_key", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
+__all__ = ["absent_rows", "first_per_key", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
 
 
 def _both(base: DataFrame, delta: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -55,11 +55,12 @@ def upsert_full(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: S
     return latest_per_key(both, keys, ["__side", *order]).drop("__side")
 
 
-def insert_if_absent(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Insert the first delta row of each key that ``base`` lacks; base rows stay as they are.
-
-    Only the base's keys are moved, not its rows.
-    """
+def absent_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first delta row of each key that ``base`` lacks. Only the base's keys are moved, not its rows."""
     incoming = first_per_key(delta, keys, order)
-    new = incoming.join(base.select(*keys), list(keys), "left_anti")
-    return base.unionByName(new.select(*base.columns))
+    return incoming.join(base.select(*keys), list(keys), "left_anti").select(*delta.columns)
+
+
+def insert_if_absent(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Base with the first delta row of each key that it lacks; base rows stay as they are."""
+    return base.unionByName(absent_rows(base, delta, keys, order).select(*base.columns))

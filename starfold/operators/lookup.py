@@ -52,9 +52,12 @@ def _cell(level: int) -> Column:
 
 
 def _boxes(sites: DataFrame, level: int) -> DataFrame:
-    """The occupied cells of a level, with the box around their sites and their parent cell."""
+    """The occupied cells of a level, with the box around their sites and their parent cell.
+
+    The cells of the first level are their own parents.
+    """
     bounds = [f(a).alias(f"__{n}_{a}") for a in _AXES for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    parent = _cell(level - 1) if level > 1 else F.lit(0).cast("bigint")
+    parent = _cell(level - 1 if level > 1 else 1)
     return sites.groupBy(parent.alias("__cell"), _cell(level).alias("__child")).agg(*bounds)
 
 
@@ -90,11 +93,11 @@ def nearest_site(
         .withColumns({"x": x, "y": y, "z": z})
     )
     per_spot = Window.partitionBy("lat", "lon")
-    cand = spots.withColumn("__cell", F.lit(0).cast("bigint"))
+    # the search starts from the 4 ** 3 cells of the first level; 4 is the largest squared distance
+    first = F.sequence(F.lit(0).cast("bigint"), F.lit(4**3 - 1).cast("bigint"))
+    cand = spots.select("*", F.lit(4.0).alias("__best"), F.explode(first).alias("__cell"))
     for level in range(1, depth + 1):
-        boxes = _boxes(located, level)
-        # the first level has at most 4 ** 3 cells
-        joined = cand.join(F.broadcast(boxes), "__cell") if level == 1 else spread_join(cand, boxes, "__cell")
+        joined = spread_join(cand, _boxes(located, level), "__cell")
         below = [
             F.greatest(F.col(f"__lo_{a}") - F.col(a), F.col(a) - F.col(f"__hi_{a}"), F.lit(0.0)) for a in _AXES
         ]
@@ -103,9 +106,11 @@ def nearest_site(
         ]
         cand = (
             joined.withColumn("__near", _sum_of_squares(below))
-            .withColumn("__far", F.min(_sum_of_squares(beyond)).over(per_spot))
-            .filter(F.col("__near") <= F.col("__far") + _SLACK)
-            .select("lat", "lon", *_AXES, F.col("__child").alias("__cell"))
+            # by the bound of the level above, which spares the window most rows
+            .filter(F.col("__near") <= F.col("__best") + _SLACK)
+            .withColumn("__best", F.min(_sum_of_squares(beyond)).over(per_spot))
+            .filter(F.col("__near") <= F.col("__best") + _SLACK)
+            .select("lat", "lon", *_AXES, "__best", F.col("__child").alias("__cell"))
         )
     leaves = located.select(
         _cell(depth).alias("__cell"), "__site", *[F.col(a).alias(f"__s{a}") for a in _AXES]

@@ -36,6 +36,16 @@ def not_null(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
     return _rows(one, [_result(table, "not_null", c, F.col(c)) for c in cols])
 
 
+def enforce_not_null(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
+    """The same rows, but reading a null in one of ``cols`` fails the job.
+
+    Put before a write it enforces the constraint in the pass that writes; a failed write commits nothing.
+    """
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{table}.{c} must not be null"))) for c in cols}
+    )
+
+
 def unique_key(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """No key occurs twice; ``failing_rows`` counts the keys that do."""
     repeated = df.groupBy(*keys).agg(F.count("*").alias("__n")).agg(F.count_if(F.col("__n") > 1).alias("n"))

@@ -15,8 +15,6 @@ from starfold.plans import listens as L
 from starfold.sinks.files import write_parquet
 from starfold.sources.files import run_path, stage
 
-GATED = ["user_id", "song_id", "artist_id", "start_time"]
-
 
 def run_daily(
     spark: SparkSession, in_dir: str, out_dir: str, run_date: dt.date | None = None,
@@ -49,5 +47,5 @@ def run_daily(
     load("users", L.users(played))
     load("artists", L.artists(songs))
     load("time", time_dimension(fact, "start_time", weekday="number", distinct=False))
-    assert_quality(not_null(fact, "songplays", GATED))
+    assert_quality(not_null(fact, "songplays", L.REQUIRED))
     return fact

@@ -1,52 +1,88 @@
-"""Keyed incremental build: a batch of files merged into the tables of the previous build."""
+"""Keyed incremental build: each run adds a batch of files to the tables.
+
+A table is a folder of batches. A run reads the batches before its own and writes only what it adds,
+so its cost follows the new files, and running a batch again replaces what it wrote.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.operators.dims import project, time_dimension
 from starfold.operators.facts import match_left_first, with_row_id
-from starfold.operators.keyed import insert_if_absent, upsert_partial
+from starfold.operators.keyed import absent_rows, first_per_key, upsert_partial
+from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
 from starfold.sinks.files import write_parquet
 from starfold.sources.files import read_json
 
 # A user's place in the log; level breaks ties, so equal times give equal results on every run.
 USER_ORDER = ["ts", "session_id", "item", "level"]
+USER_KEPT = ["first_name", "last_name", "gender"]
+
+
+def _batches(spark: SparkSession, out_dir: str, table: str, before: int) -> DataFrame:
+    return spark.read.parquet(f"{out_dir}/{table}").filter(F.col("batch") < before)
+
+
+def _merge_users(base: DataFrame, delta: DataFrame) -> DataFrame:
+    return upsert_partial(base, delta, ["user_id"], USER_ORDER, last_wins=["level"], first_wins=USER_KEPT)
 
 
-def run_keyed(spark: SparkSession, in_dir: str, out_dir: str, base_dir: str | None = None) -> DataFrame:
-    """Merge the files below ``in_dir`` into the tables below ``base_dir``; write the new version.
+def run_keyed(
+    spark: SparkSession, in_dir: str, out_dir: str, batch: int = 0, logs: Sequence[str] = ("log_data",)
+) -> None:
+    """Add the song files and the ``logs`` (paths below ``in_dir``) as batch 0, 1, 2, ...
 
-    Songs, artists and times keep their first row. Users keep their first name and gender and get
-    the latest level. Every play is kept, with null ids where no song matches. Returns this batch's
-    ``songplays``, which are written as a batch of their own, so a rerun replaces rather than repeats.
+    Songs, artists and times keep the row of the first batch that had them. Users keep their first
+    name and gender and get the latest level (see ``users``). Every play is kept once, with null ids
+    where no song matches; its number goes on from the batch before.
     """
 
-    def base(table: str, like: DataFrame) -> DataFrame:
-        return spark.read.parquet(f"{base_dir}/{table}") if base_dir else like.limit(0)
+    def add(table: str, rows: DataFrame) -> None:
+        write_parquet(rows, f"{out_dir}/{table}/batch={batch}")
 
-    def merge_new(table: str, rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-        write_parquet(insert_if_absent(base(table, rows), rows, keys, order), f"{out_dir}/{table}")
-        return spark.read.parquet(f"{out_dir}/{table}")
+    def add_absent(table: str, rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        new = absent_rows(_batches(spark, out_dir, table, batch), rows, keys, order) if batch else first_per_key(rows, keys, order)
+        add(table, new)
+        return _batches(spark, out_dir, table, batch + 1)
 
     raw = read_json(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True)
-    # the order column of artists is the song they came with
-    songs = merge_new("songs", project(raw, L.SONGS), ["song_id"], ["title", "artist_id", "year", "duration"])
-    artists = merge_new("artists", project(raw, {**L.ARTISTS, "first_song": "song_id"}), ["artist_id"], ["first_song"])
+    songs = add_absent("songs", project(raw, L.SONGS), ["song_id"], ["title", "artist_id", "year", "duration"])
+    # an artist's first row is the one that came with the lowest song
+    came_with = project(raw, {**L.ARTISTS, "first_song": "song_id"})
+    artists = add_absent("artists", came_with, ["artist_id"], ["first_song"])
 
-    played = L.plays(read_json(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, recursive=True)).distinct()
-    merge_new("time", time_dimension(L.with_start_time(played), "start_time"), ["start_time"], ["start_time"])
+    log = read_json(spark, [f"{in_dir}/{p}" for p in logs], schemas.LISTEN_LOG, recursive=True)
+    played = L.plays(log).distinct()
+    add_absent("time", time_dimension(L.with_start_time(played), "start_time"), ["start_time"], ["start_time"])
 
     versions = project(played, {**L.USERS, "ts": "ts", "session_id": "sessionId", "item": "itemInSession"})
-    users = upsert_partial(
-        base("users", versions), versions, ["user_id"], USER_ORDER,
-        last_wins=["level"], first_wins=["first_name", "last_name", "gender"],
+    add("users", _merge_users(versions.limit(0), versions))
+
+    fact = enforce_not_null(
+        match_left_first(L.listens(played), songs, artists).select(*L.SONGPLAYS), "songplays", ["start_time", "user_id"]
     )
-    write_parquet(users, f"{out_dir}/users")
+    start = 1
+    if batch:
+        last = _batches(spark, out_dir, "songplays", batch).agg(F.max("songplay_id")).first()[0]
+        start = (last or 0) + 1
+    add("songplays", with_row_id(fact, L.SONGPLAYS, "songplay_id", start))
+
+
+def songplays(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{out_dir}/songplays").select("songplay_id", *L.SONGPLAYS)
 
-    fact = match_left_first(L.listens(played), songs, artists).select(*L.SONGPLAYS)
-    write_parquet(with_row_id(fact, L.SONGPLAYS, "songplay_id"), f"{out_dir}/songplays")
-    return spark.read.parquet(f"{out_dir}/songplays").select(F.col("songplay_id"), *L.SONGPLAYS)
+
+def users(spark: SparkSession, out_dir: str) -> DataFrame:
+    """One row per user over all batches: first name and gender, latest level."""
+    versions = spark.read.parquet(f"{out_dir}/users")
+    when = F.struct("batch", *USER_ORDER)
+    merged = versions.groupBy("user_id").agg(
+        F.min_by(F.struct(*USER_KEPT), when).alias("kept"), F.max_by("level", when).alias("level")
+    )
+    return merged.select("user_id", "kept.*", "level")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.functions.dates import time_parts
-from starfold.operators.dims import latest_per_key, time_dimension
+from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_inner, with_row_id
 from starfold.plans import listens as L
 from starfold.sinks.files import write_parquet
@@ -25,11 +25,7 @@ def run_lake(spark: SparkSession, in_dir: str, out_dir: str, users: str = "disti
     write_parquet(L.artists(raw), f"{out_dir}/artists")
 
     played = L.plays(read_json(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, recursive=True))
-    user_rows = L.users(played)
-    if users == "latest":
-        dated = played.select(*[F.col(s).alias(t) for t, s in L.USERS.items()], "ts")
-        user_rows = latest_per_key(dated, ["user_id"], ["ts", "level"]).drop("ts")
-    write_parquet(user_rows, f"{out_dir}/users")
+    write_parquet(L.users(played) if users == "distinct" else L.latest_users(played), f"{out_dir}/users")
     write_parquet(time_dimension(L.with_start_time(played), "start_time"), f"{out_dir}/time", ["year", "month"])
 
     fact = match_inner(
@@ -41,5 +37,6 @@ def run_lake(spark: SparkSession, in_dir: str, out_dir: str, users: str = "disti
     parts = time_parts(F.col("start_time"))
     numbered = with_row_id(fact, L.SONGPLAYS, "songplay_id")
     dated_fact = numbered.select("songplay_id", *L.SONGPLAYS, parts["year"].alias("year"), parts["month"].alias("month"))
-    write_parquet(dated_fact, f"{out_dir}/songplays", ["year", "month"])
+    # numbered rows lie in time order, so each task holds few months
+    write_parquet(dated_fact, f"{out_dir}/songplays", ["year", "month"], rebalance=False)
     return spark.read.parquet(f"{out_dir}/songplays").select(*dated_fact.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators.dims import distinct_dim
+from starfold.operators.dims import distinct_dim, latest_per_key, project
 
 # Fixed value: the page of a log row that is a play.
 PLAY_PAGE = "NextSong"
@@ -19,6 +19,7 @@ USERS = {
     "user_id": "userId", "first_name": "firstName", "last_name": "lastName", "gender": "gender", "level": "level",
 }
 SONGPLAYS = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
+REQUIRED = ["start_time", "user_id", "song_id", "artist_id"]
 
 
 def plays(log: DataFrame) -> DataFrame:
@@ -45,6 +46,12 @@ def users(played: DataFrame) -> DataFrame:
     return distinct_dim(played, USERS)
 
 
+def latest_users(played: DataFrame) -> DataFrame:
+    """One row per user, with the level of the latest play."""
+    dated = project(played, {**USERS, "ts": "ts"})
+    return latest_per_key(dated, ["user_id"], ["ts", "level"]).drop("ts")
+
+
 def listens(played: DataFrame) -> DataFrame:
     """Plays under the fact's column names, with the natural key still attached."""
     return with_start_time(played).select(

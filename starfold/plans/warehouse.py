@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starfold import schemas
 from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_inner, with_row_id
+from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
 from starfold.sinks.files import clustered, write_parquet
 from starfold.sources.files import stage
@@ -32,6 +33,7 @@ def run_warehouse(
 
     played = L.plays(staged_events)
     fact = match_inner(L.listens(played), songs, artists).select(*L.SONGPLAYS)
+    fact = enforce_not_null(fact, "songplays", L.REQUIRED)
     # numbering already sorts the fact by start_time, which is its sort key
     write_parquet(with_row_id(fact, L.SONGPLAYS, "songplay_id", start=0), f"{out_dir}/songplays")
     songplays = spark.read.parquet(f"{out_dir}/songplays").select("songplay_id", *L.SONGPLAYS)

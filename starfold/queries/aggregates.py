@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold.operators import analytics, dims, facts, quality
 from starfold.queries.registry import Tables, query
+from starfold.sinks.files import write_parquet
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -127,7 +128,7 @@ def union_all_parts(t: Tables) -> DataFrame:
 @query("SELECT row_number() OVER (ORDER BY ts, event_id) AS row_id, event_id, user_id FROM events")
 def global_row_id(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts")
-    return facts.with_row_id(rows, ["ts", "event_id"], unique=True).select("row_id", "event_id", "user_id")
+    return facts.with_row_id(rows, ["ts", "event_id"]).select("row_id", "event_id", "user_id")
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
@@ -166,6 +167,15 @@ def dq_not_null(t: Tables) -> DataFrame:
     return quality.not_null(df, "labelled", ["doc_id", "lang", "quality"])
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def not_null_write(t: Tables) -> DataFrame:
+    """A write that fails on a null key; the given orders have none."""
+    path = t.scratch("not-null")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    write_parquet(quality.enforce_not_null(rows, "orders", ["o_orderkey", "o_custkey"]), path)
+    return t.spark.read.parquet(path)
+
+
 @query(
     " UNION ALL ".join(
         result_sql(table, "unique_key", keys, "count(*)", f"(SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1)")

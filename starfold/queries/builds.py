@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.plans import arrivals, daily, keyed, lake, query_tables, warehouse
-from starfold.plans.listens import SONGPLAYS
+from starfold.plans.listens import SONGPLAYS, latest_users, plays
 from starfold.queries import roles
 from starfold.queries.joins import LEFT_FIRST_SQL, MICROS, MICROS_SQL, STAR_SQL
 from starfold.queries.registry import Tables, query
+from starfold.sinks.files import write_parquet
+from starfold.sources.files import read_json
 
 OTHERS = ["user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
 TEXT_TIME = f"strftime(start_time, {MICROS_SQL}) AS start_time"
@@ -42,9 +44,10 @@ def build_lake(t: Tables) -> DataFrame:
         arg_max(level, (start_time, level)) AS level FROM plays GROUP BY user_id"""
 )
 def build_lake_latest_users(t: Tables) -> DataFrame:
-    out = t.scratch("lake")
-    lake.run_lake(t.spark, roles.listen_dir(t), out, users="latest")
-    return t.spark.read.parquet(f"{out}/users")
+    log = read_json(t.spark, f"{roles.listen_dir(t)}/log_data", schemas.LISTEN_LOG, recursive=True)
+    out = t.scratch("latest-users")
+    write_parquet(latest_users(plays(log)), out)
+    return t.spark.read.parquet(out)
 
 
 @query(f"{INNER_SQL} SELECT {NUMBER} - 1 AS songplay_id, {TEXT_TIME}, {', '.join(OTHERS)} FROM fact")
@@ -64,6 +67,9 @@ def build_warehouse_time(t: Tables) -> DataFrame:
     return text_time(t.spark.read.parquet(f"{out}/time"))
 
 
+# The log's years, in two batches that together are the whole log.
+LOG_YEARS = ["{1995,1996,1997}", "{1998,1999,2000,2001}"]
+
 DISTINCT_PLAYS = """
     , once AS (SELECT DISTINCT start_time, user_id, level, session_id, location, user_agent, song, artist, length, item,
                       first_name, last_name, gender FROM plays)
@@ -77,7 +83,11 @@ DISTINCT_PLAYS = """
         SELECT {NUMBER} AS songplay_id, {TEXT_TIME}, {', '.join(OTHERS)} FROM fact"""
 )
 def build_keyed(t: Tables) -> DataFrame:
-    return text_time(keyed.run_keyed(t.spark, roles.listen_dir(t), t.scratch("keyed")))
+    """Two batches; the second one starts from the first one's tables."""
+    out = t.scratch("keyed")
+    for batch, years in enumerate(LOG_YEARS):
+        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, [f"log_data/log_year={years}"])
+    return text_time(keyed.songplays(t.spark, out))
 
 
 @query(
@@ -86,11 +96,11 @@ def build_keyed(t: Tables) -> DataFrame:
         FROM (SELECT *, (start_time, session_id, item, level) AS k FROM plays) GROUP BY user_id"""
 )
 def build_keyed_users(t: Tables) -> DataFrame:
-    """The same files merged twice: the second run starts from the first one's tables and changes nothing."""
-    first, second = t.scratch("keyed"), t.scratch("keyed")
-    keyed.run_keyed(t.spark, roles.listen_dir(t), first)
-    keyed.run_keyed(t.spark, roles.listen_dir(t), second, base_dir=first)
-    return t.spark.read.parquet(f"{second}/users").select("user_id", "first_name", "last_name", "gender", "level")
+    """The second batch is loaded twice, as after a failed run; that changes nothing."""
+    out = t.scratch("keyed")
+    for batch in (0, 1, 1):
+        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, [f"log_data/log_year={LOG_YEARS[batch]}"])
+    return keyed.users(t.spark, out)
 
 
 @query(

@@ -25,10 +25,14 @@ def clustered(df: DataFrame, dist_key: str | Sequence[str], sort_keys: Sequence[
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = False
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = False,
+    rebalance: bool = True,
 ) -> None:
-    """Write Parquet. ``dynamic`` overwrites only the partitions that ``df`` holds rows of."""
-    if partition_by:
+    """Write Parquet. ``dynamic`` overwrites only the partitions that ``df`` holds rows of.
+
+    ``rebalance`` off saves a shuffle for rows that already lie together by partition.
+    """
+    if partition_by and rebalance:
         df = rebalanced(df, *partition_by)
     writer = df.write.mode(mode)
     if partition_by:

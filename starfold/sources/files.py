@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 LATIN_1 = "ISO-8859-1"
 
 
-def read_json(spark: SparkSession, path: str, schema: str, recursive: bool = False) -> DataFrame:
-    """JSON lines below ``path``: a glob of fixed depth, or any depth with ``recursive``."""
+def read_json(
+    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False
+) -> DataFrame:
+    """JSON lines below ``path``: globs of fixed depth, or folders of any depth with ``recursive``."""
     reader = spark.read.schema(schema)
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    return reader.json(path)
+    return reader.json(path if isinstance(path, str) else list(path))
 
 
 def stage(

@@ -40,6 +40,8 @@ def difference(df, con, sql: str) -> str | None:
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(names)}"
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    if not got and expected == []:
+        return "no rows on either side"
     if len(got) != len(expected):
         return f"{len(got)} rows instead of {len(expected)}"
     for a, b in zip(got, expected):
