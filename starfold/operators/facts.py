@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from starfold.functions.labels import hash_key
 from starfold.operators.joins import spread_join
 from starfold.session import scratch_dir
 
@@ -57,7 +58,7 @@ def with_time(fact: DataFrame, time: DataFrame, columns: Sequence[str] = ("year"
 
 def with_hash_key(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     """A key computed from the row, the same on every run; null if a part is null."""
-    return df.withColumn(key, F.md5(F.concat(*[F.col(c).cast("string") for c in cols])))
+    return df.withColumn(key, hash_key(*[F.col(c) for c in cols]))
 
 
 def with_row_id(df: DataFrame, order: Sequence[str], key: str = "row_id", start: int = 1) -> DataFrame:

@@ -12,7 +12,7 @@ from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_staging, with_hash_key
 from starfold.operators.quality import assert_quality, not_null
 from starfold.plans import listens as L
-from starfold.sinks.files import write_parquet
+from starfold.sinks.files import materialize, write_parquet
 from starfold.sources.files import run_path, stage
 
 
@@ -26,16 +26,21 @@ def run_daily(
     rerun loads nothing twice; ``append`` adds to it. Raises ``QualityError`` on null keys.
     """
     rel = run_path(log_path, run_date) if run_date else "log_data"
-    events = stage(spark, f"{in_dir}/{rel}", schemas.LISTEN_LOG, millis_cols=["ts"], recursive=run_date is None)
-    songs = stage(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True)
     load_date = str(run_date) if run_date else "all"
+    staging = f"{out_dir}/staging/{load_date}"
+    events = stage(spark, f"{in_dir}/{rel}", schemas.LISTEN_LOG, millis_cols=["ts"], recursive=run_date is None)
+    played = L.staged_plays(events, f"{staging}/plays")
+    songs = materialize(
+        stage(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True), f"{staging}/songs"
+    )
 
     def load(table: str, df: DataFrame) -> DataFrame:
+        # all rows go to one partition, so bringing equal values together would only shuffle them
         dated = df.withColumn("load_date", F.lit(load_date))
-        write_parquet(dated, f"{out_dir}/{table}", ["load_date"], mode=mode, dynamic=mode == "overwrite")
+        path, replace = f"{out_dir}/{table}", mode == "overwrite"
+        write_parquet(dated, path, ["load_date"], mode=mode, dynamic=replace, rebalance=False)
         return spark.read.parquet(f"{out_dir}/{table}").filter(F.col("load_date") == load_date).select(*df.columns)
 
-    played = L.plays(events)
     matched = match_staging(L.listens(played), songs)
     # the time's text is fixed to milliseconds, which is what the log holds
     keyed = with_hash_key(

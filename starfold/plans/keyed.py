@@ -17,7 +17,7 @@ from starfold.operators.facts import match_left_first, with_row_id
 from starfold.operators.keyed import absent_rows, first_per_key, upsert_partial
 from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
-from starfold.sinks.files import write_parquet
+from starfold.sinks.files import materialize, write_parquet
 from starfold.sources.files import read_json
 
 # A user's place in the log; level breaks ties, so equal times give equal results on every run.
@@ -51,14 +51,17 @@ def run_keyed(
         add(table, new)
         return _batches(spark, out_dir, table, batch + 1)
 
-    raw = read_json(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True)
+    staging = f"{out_dir}/staging/batch={batch}"
+    raw = materialize(
+        read_json(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True), f"{staging}/songs"
+    )
     songs = add_absent("songs", project(raw, L.SONGS), ["song_id"], ["title", "artist_id", "year", "duration"])
     # an artist's first row is the one that came with the lowest song
     came_with = project(raw, {**L.ARTISTS, "first_song": "song_id"})
     artists = add_absent("artists", came_with, ["artist_id"], ["first_song"])
 
     log = read_json(spark, [f"{in_dir}/{p}" for p in logs], schemas.LISTEN_LOG, recursive=True)
-    played = L.plays(log).distinct()
+    played = L.staged_plays(log, f"{staging}/plays", distinct=True)
     add_absent("time", time_dimension(L.with_start_time(played), "start_time"), ["start_time"], ["start_time"])
 
     versions = project(played, {**L.USERS, "ts": "ts", "session_id": "sessionId", "item": "itemInSession"})

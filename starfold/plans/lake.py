@@ -10,7 +10,7 @@ from starfold.functions.dates import time_parts
 from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_inner, with_row_id
 from starfold.plans import listens as L
-from starfold.sinks.files import write_parquet
+from starfold.sinks.files import materialize, write_parquet
 from starfold.sources.files import read_json, read_parquet
 
 
@@ -19,12 +19,15 @@ def run_lake(spark: SparkSession, in_dir: str, out_dir: str, users: str = "disti
 
     ``users`` is ``distinct`` (a row per user and level) or ``latest`` (a row per user).
     """
-    raw = read_json(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True)
+    raw = materialize(
+        read_json(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True), f"{out_dir}/staging/songs"
+    )
     # by year only: a folder per artist would be mostly tiny files
     write_parquet(L.songs(raw), f"{out_dir}/songs", ["year"])
     write_parquet(L.artists(raw), f"{out_dir}/artists")
 
-    played = L.plays(read_json(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, recursive=True))
+    log = read_json(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, recursive=True)
+    played = L.staged_plays(log, f"{out_dir}/staging/plays")
     write_parquet(L.users(played) if users == "distinct" else L.latest_users(played), f"{out_dir}/users")
     write_parquet(time_dimension(L.with_start_time(played), "start_time"), f"{out_dir}/time", ["year", "month"])
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.dims import distinct_dim, latest_per_key, project
+from starfold.sinks.files import materialize
 
 # Fixed value: the page of a log row that is a play.
 PLAY_PAGE = "NextSong"
@@ -33,6 +34,21 @@ def with_start_time(log: DataFrame) -> DataFrame:
     return log.withColumnRenamed("ts", "start_time")
 
 
+# The log columns that the star schema is built from.
+PLAY_COLUMNS = [
+    "ts", "userId", "firstName", "lastName", "gender", "level", "sessionId", "itemInSession", "location", "userAgent",
+    "song", "artist", "length",
+]
+
+
+def staged_plays(log: DataFrame, path: str, distinct: bool = False) -> DataFrame:
+    """The plays of a log as a staging table, which the fact, users and time are then built from."""
+    rows = plays(log)
+    # before columns are dropped, so that only rows repeated as a whole count as one
+    rows = rows.distinct() if distinct else rows
+    return materialize(rows.select(*PLAY_COLUMNS), path)
+
+
 def songs(staged: DataFrame) -> DataFrame:
     return distinct_dim(staged, SONGS)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.operators.dims import latest_per_key
-from starfold.sinks.files import clustered, write_parquet
+from starfold.sinks.files import clustered, materialize, write_parquet
 from starfold.sources.files import consolidate_csv
 
 # table -> (partition key, clustering key, columns)
@@ -41,9 +41,8 @@ def run_query_tables(
     spark: SparkSession, in_dir: str, out_dir: str, order: Sequence[str] = ("ts",)
 ) -> dict[str, DataFrame]:
     """Consolidate the event CSV files and write the query tables; return them by name."""
-    events = consolidate_csv(
-        spark, in_dir, schemas.EVENT_CSV, [*schemas.EVENT_COLUMNS, *order], require="artist"
-    ).withColumnsRenamed(RENAMED)
+    kept = consolidate_csv(spark, in_dir, schemas.EVENT_CSV, [*schemas.EVENT_COLUMNS, *order], require="artist")
+    events = materialize(kept.withColumnsRenamed(RENAMED), f"{out_dir}/staging/events")
     out = {}
     for table, (partition, cluster, _) in TABLES.items():
         path = f"{out_dir}/{table}"

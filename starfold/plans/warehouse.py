@@ -11,7 +11,7 @@ from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_inner, with_row_id
 from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
-from starfold.sinks.files import clustered, write_parquet
+from starfold.sinks.files import clustered, materialize, write_parquet
 from starfold.sources.files import stage
 
 
@@ -22,16 +22,16 @@ def run_warehouse(
 
     ``log_mapping`` maps staging columns to JSON keys; without it they go by name.
     """
-    staged_events = stage(
-        spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, log_mapping, millis_cols=["ts"], recursive=True
+    log = stage(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, log_mapping, millis_cols=["ts"], recursive=True)
+    played = L.staged_plays(log, f"{out_dir}/staging/plays")
+    staged_songs = materialize(
+        stage(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True), f"{out_dir}/staging/songs"
     )
-    staged_songs = stage(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True)
 
     write_parquet(clustered(L.songs(staged_songs), "song_id", ["song_id"]), f"{out_dir}/songs")
     write_parquet(clustered(L.artists(staged_songs), "artist_id", ["artist_id"]), f"{out_dir}/artists")
     songs, artists = (spark.read.parquet(f"{out_dir}/{t}") for t in ("songs", "artists"))
 
-    played = L.plays(staged_events)
     fact = match_inner(L.listens(played), songs, artists).select(*L.SONGPLAYS)
     fact = enforce_not_null(fact, "songplays", L.REQUIRED)
     # numbering already sorts the fact by start_time, which is its sort key

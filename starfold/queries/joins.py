@@ -119,7 +119,7 @@ def join_computed_key(t: Tables) -> DataFrame:
     """SELECT 'K' || s_suppkey AS ident, s_name AS airport_name, CAST(CAST(s_acctbal AS DECIMAL(10, 2)) AS DOUBLE) AS longitude,
               CAST(s_suppkey AS DOUBLE) AS latitude, iso_country, CASE WHEN iso_country = 'US' THEN 'Home' WHEN iso_country = 'AF'
               THEN 'AFRICA' END AS iso_country_fullname
-       FROM (SELECT *, CASE WHEN r_name IN ('AMERICA', 'ASIA') THEN 'US' ELSE substr(r_name, 1, 2) END AS iso_country
+       FROM (SELECT *, CASE WHEN r_name IN ('AMERICA', 'ASIA', 'EUROPE') THEN 'US' ELSE substr(r_name, 1, 2) END AS iso_country
              FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 )
 def join_lookup_name(t: Tables) -> DataFrame:

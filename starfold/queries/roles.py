@@ -299,14 +299,14 @@ def gazetteer(t: Tables) -> DataFrame:
 
 
 def airports_raw(t: Tables) -> DataFrame:
-    """Airports: suppliers, in their nation as town; America and Asia count as home."""
+    """Airports: suppliers, in their nation as town; three regions count as home."""
     df = spread_join(t.supplier.withColumnRenamed("s_nationkey", "n_nationkey"), nation_regions(t), "n_nationkey")
     rich = F.col("s_acctbal")
-    home = F.col("r_name").isin("AMERICA", "ASIA")
+    home = F.col("r_name").isin("AMERICA", "ASIA", "EUROPE")
     state = F.substring("r_name", 1, 2)
     return df.select(
         _text("K", F.col("s_suppkey").cast("string")).alias("ident"),
-        F.when(rich > 6000, "large_airport").when(rich > 2000, "medium_airport").otherwise("small_airport").alias("type"),
+        F.when(rich > 2000, "large_airport").when(rich > 0, "medium_airport").otherwise("small_airport").alias("type"),
         F.col("s_name").alias("name"),
         F.floor(rich).cast("int").alias("elevation_ft"),
         F.lit("NA").alias("continent"),
@@ -321,14 +321,14 @@ def airports_raw(t: Tables) -> DataFrame:
 
 
 AIRPORTS_SQL = """
-    SELECT 'K' || s_suppkey AS ident, CASE WHEN s_acctbal > 6000 THEN 'large_airport' WHEN s_acctbal > 2000 THEN 'medium_airport'
+    SELECT 'K' || s_suppkey AS ident, CASE WHEN s_acctbal > 2000 THEN 'large_airport' WHEN s_acctbal > 0 THEN 'medium_airport'
            ELSE 'small_airport' END AS type, s_name AS airport_name, CAST(floor(s_acctbal) AS INTEGER) AS elevation_ft,
            'NA' AS continent, 'US' AS iso_country, n_name AS municipality, CAST(NULL AS VARCHAR) AS gps_code,
            CAST(NULL AS VARCHAR) AS iata_code, CAST(s_suppkey AS VARCHAR) AS local_code,
            CASE WHEN s_acctbal >= 0 THEN substr(r_name, 1, 2) END AS region,
            concat_ws(', ', upper(n_name), CASE WHEN s_acctbal >= 0 THEN substr(r_name, 1, 2) END) AS municipality_region
     FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-    WHERE r_name IN ('AMERICA', 'ASIA')
+    WHERE r_name IN ('AMERICA', 'ASIA', 'EUROPE')
 """
 
 

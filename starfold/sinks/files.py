@@ -42,6 +42,12 @@ def write_parquet(
     writer.parquet(path)
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and read it back: text files are parsed once, and later reads prune columns."""
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write JSON lines, in nested folders if ``partition_by`` is given."""
     if partition_by:
