@@ -23,7 +23,7 @@ def connect(sf_dir: str):
 
 def plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
+        return "nan" if math.isnan(v) else repr(v + 0.0)
     return str(v)
 
 
