@@ -33,7 +33,7 @@ def code(c: Column) -> Column:
 
 def id_text(c: Column) -> Column:
     """An identifier stored as double, as text without decimals."""
-    return c.try_cast("int").cast("string")
+    return c.try_cast("bigint").cast("string")
 
 
 def place_key(city: Column, state: Column) -> Column:

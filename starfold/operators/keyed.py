@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.dims import first_per_key, latest_per_key
+from starfold.operators.joins import fits_broadcast
 
 __all__ = ["absent_rows", "first_per_key", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
 
@@ -56,9 +57,15 @@ def upsert_full(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: S
 
 
 def absent_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first delta row of each key that ``base`` lacks. Only the base's keys are moved, not its rows."""
-    incoming = first_per_key(delta, keys, order)
-    return incoming.join(base.select(*keys), list(keys), "left_anti").select(*delta.columns)
+    """The first delta row of each key that ``base`` lacks.
+
+    Only the base's keys are moved, not its rows; if the delta fits a broadcast, only the keys that
+    the delta has too.
+    """
+    incoming, known = first_per_key(delta, keys, order), base.select(*keys)
+    if fits_broadcast(delta):
+        known = known.join(delta.select(*keys), list(keys), "left_semi")
+    return incoming.join(known, list(keys), "left_anti").select(*delta.columns)
 
 
 def insert_if_absent(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

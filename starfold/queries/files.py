@@ -252,7 +252,5 @@ def incremental_ingest(t: Tables) -> DataFrame:
     """New files are staged and merged by user; a second run finds nothing new."""
     table, progress = t.scratch("ingest-table"), t.scratch("ingest-progress")
     for _ in range(2):
-        ingest.ingest_new_files(
-            t.spark, event_json_dir(t), EVENT_JSON, table, progress, ["user_id"], ORDER, max_files_per_batch=200
-        )
+        ingest.ingest_new_files(t.spark, event_json_dir(t), EVENT_JSON, table, progress, ["user_id"], ORDER)
     return ingest.current_rows(t.spark, table, ["user_id"], ORDER)

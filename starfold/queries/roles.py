@@ -339,7 +339,7 @@ def demographics_raw(t: Tables) -> DataFrame:
     values = [
         F.col("n_name"), F.initcap("r_name"), F.col("c_acctbal"), people, people + 1, people * 2 + 1,
         F.when(F.col("c_acctbal") >= 0, people), people + 7, F.lit(2.5), F.substring("r_name", 1, 2),
-        F.col("c_mktsegment"), F.col("c_custkey").cast("int"),
+        F.col("c_mktsegment"), F.length("c_name"),
     ]
     return df.select(*[v.alias(n) for v, n in zip(values, schemas.names(schemas.DEMOGRAPHICS_RAW), strict=True)])
 
@@ -348,7 +348,7 @@ DEMOGRAPHICS_SQL = f"""
     SELECT n_name AS city, {initcap_sql("r_name")} AS state, c_acctbal AS median_age,
            people AS male_population, people + 1 AS female_population, people * 2 + 1 AS total_population,
            CASE WHEN c_acctbal >= 0 THEN people END AS num_of_veterans, people + 7 AS foreign_born, 2.5e0 AS avg_house_size,
-           substr(r_name, 1, 2) AS state_code, c_mktsegment AS race, CAST(c_custkey AS INTEGER) AS count,
+           substr(r_name, 1, 2) AS state_code, c_mktsegment AS race, CAST(length(c_name) AS INTEGER) AS count,
            upper(n_name) || ', ' || upper(substr(r_name, 1, 2)) AS city_state_code
     FROM (SELECT *, CAST(floor(abs(c_acctbal) * 10) AS INTEGER) AS people FROM customer)
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

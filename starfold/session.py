@@ -18,7 +18,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.nonEmptyPartitionRatioForBroadcastJoin": "0.01",
 }
 
 _local_dirs: dict[str, str] = {}

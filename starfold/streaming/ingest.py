@@ -19,12 +19,15 @@ def ingest_new_files(
     spark: SparkSession, in_dir: str, schema: str, table_dir: str, progress_dir: str,
     keys: Sequence[str], order: Sequence[str],
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
-    file_format: str = "json", max_files_per_batch: int | None = None,
+    file_format: str = "json", max_batch_bytes: int | None = None,
 ) -> None:
-    """Stage all new files below ``in_dir`` and stop. ``progress_dir`` remembers what was read."""
+    """Stage all new files below ``in_dir`` and stop. ``progress_dir`` remembers what was read.
+
+    ``max_batch_bytes`` splits a large backlog into several batches.
+    """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if max_batch_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_batch_bytes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         merged = latest_per_key(transform(batch), keys, order)

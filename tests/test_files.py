@@ -125,15 +125,16 @@ def test_ingest_takes_new_files_once(spark, tmp_path):
     (tmp_path / "src").mkdir()
     schema, keys, order = "k STRING, v INT, ts INT", ["k"], ["ts"]
 
-    def run():
-        ingest.ingest_new_files(spark, src, schema, table, progress, keys, order)
+    def run(**options):
+        ingest.ingest_new_files(spark, src, schema, table, progress, keys, order, **options)
         return rows(ingest.current_rows(spark, table, keys, order))
 
     (tmp_path / "src" / "1.json").write_text('{"k": "a", "v": 1, "ts": 1}\n{"k": "a", "v": 2, "ts": 2}\n{"k": "b", "v": 3, "ts": 1}')
     assert run() == [("a", 2, 2), ("b", 3, 1)]
     assert run() == [("a", 2, 2), ("b", 3, 1)]
     (tmp_path / "src" / "2.json").write_text('{"k": "a", "v": 9, "ts": 0}\n{"k": "b", "v": 4, "ts": 5}\n{"k": "c", "v": 5, "ts": 1}')
-    assert run() == [("a", 2, 2), ("b", 4, 5), ("c", 5, 1)]
-    assert len(list((tmp_path / "table").glob("batch_id=*"))) == 2
+    (tmp_path / "src" / "3.json").write_text('{"k": "b", "v": 0, "ts": 4}')
+    assert run(max_batch_bytes=1) == [("a", 2, 2), ("b", 4, 5), ("c", 5, 1)]
+    assert len(list((tmp_path / "table").glob("batch_id=*"))) == 3
     ingest.compact(spark, table, str(tmp_path / "small"), keys, order)
     assert rows(ingest.current_rows(spark, str(tmp_path / "small"), keys, order)) == [("a", 2, 2), ("b", 4, 5), ("c", 5, 1)]
