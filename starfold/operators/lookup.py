@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starfold.functions.geo import unit_vector
 from starfold.functions.labels import NOT_IN_DICTIONARY, fill_sentinel
-from starfold.operators.joins import spread_join
+from starfold.operators.joins import estimated_bytes, spread_join
 
 
 def map_codes(
@@ -65,8 +66,24 @@ def _sum_of_squares(terms: list[Column]) -> Column:
     return terms[0] * terms[0] + terms[1] * terms[1] + terms[2] * terms[2]
 
 
+# Used where the number of sites cannot be estimated: cells of about 50 km.
+_USUAL_DEPTH, _MAX_DEPTH = 4, 8
+
+
+def search_depth(sites: DataFrame) -> int:
+    """Levels at which a cell holds about one site, by the optimizer's size estimate.
+
+    The sphere meets about pi * 16 ** level cells, and a site takes at least 24 bytes. Too many
+    levels cost little, since a cell with one site has one child.
+    """
+    size = estimated_bytes(sites)
+    if size >= 1 << 62:
+        return _USUAL_DEPTH
+    return min(max(math.ceil(math.log(max(size / 24, 1) / math.pi, 16)), 2), _MAX_DEPTH)
+
+
 def nearest_site(
-    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str], depth: int = 4
+    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str], depth: int | None = None
 ) -> DataFrame:
     """Add columns of the nearest site to each point; ``keep`` maps site column -> new name.
 
@@ -76,8 +93,10 @@ def nearest_site(
     only cells that may still hold its nearest site: those whose closest possible site is no farther
     than the farthest possible site of some other cell. So the rows per point stay few however
     densely the sites lie, the result is exact, and no point meets all sites. Each distinct place
-    is searched once, whatever share of the points it has.
+    is searched once, whatever share of the points it has. ``depth`` is the number of levels; by
+    default it grows with the estimated number of sites.
     """
+    depth = depth or search_depth(sites)
     x, y, z = unit_vector(F.col("lat"), F.col("lon"))
     located = (
         sites.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())

@@ -159,7 +159,13 @@ def brute_nearest(points, sites):
     return out
 
 
-@pytest.mark.parametrize("depth", [1, 3, 5])
+def test_search_depth_grows_with_the_sites(spark):
+    depths = [lookup.search_depth(spark.range(n).select("id", F.lit(1.0), F.lit(2.0))) for n in (10, 5000, 10**6, 10**9, 10**14)]
+    assert depths == sorted(depths) and depths[0] == 2 and depths[-1] == 8 and len(set(depths)) == 5
+    assert lookup.search_depth(spark.createDataFrame([(1,)], "x int")) == 4
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5, 8])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_nearest_site_equals_brute_force(spark, request, depth, broadcast):
     """Sites are scattered, with most of them in one dense town, and at the poles and the date line."""
