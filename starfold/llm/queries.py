@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from starfold.llm.exact_dedup import duplicate_groups
+from starfold.llm.language_id import language_table
 from starfold.llm.registry import ORACLES, QUERIES, query
+from starfold.llm.simhash import near_duplicates
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -23,3 +25,13 @@ __all__ = ["ORACLES", "QUERIES"]
 )
 def op2_exact_dedup(documents: DataFrame) -> DataFrame:
     return duplicate_groups(documents)
+
+
+@query("documents")
+def op6_simhash_near_dedup(documents: DataFrame) -> DataFrame:
+    return near_duplicates(documents).drop("mark")
+
+
+@query("documents")
+def op10_language_id(documents: DataFrame) -> DataFrame:
+    return language_table(documents)
