@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from starfold.llm.decontaminate import contaminated
 from starfold.llm.exact_dedup import duplicate_groups
 from starfold.llm.language_id import language_table
+from starfold.llm.packing import pack_documents
 from starfold.llm.registry import ORACLES, QUERIES, query
 from starfold.llm.simhash import near_duplicates
 
@@ -35,3 +37,13 @@ def op6_simhash_near_dedup(documents: DataFrame) -> DataFrame:
 @query("documents")
 def op10_language_id(documents: DataFrame) -> DataFrame:
     return language_table(documents)
+
+
+@query("documents,benchmark")
+def op1_decontamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    return contaminated(documents, benchmark).drop("id_key", "mark_key")
+
+
+@query("documents")
+def op4_best_fit_packing(documents: DataFrame) -> DataFrame:
+    return pack_documents(documents)
