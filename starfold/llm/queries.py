@@ -9,9 +9,11 @@ from starfold.llm.decontaminate import contaminated
 from starfold.llm.exact_dedup import duplicate_groups
 from starfold.llm.language_id import language_table
 from starfold.llm.packing import pack_documents
+from starfold.llm.pii import personal_data
 from starfold.llm.registry import ORACLES, QUERIES, query
 from starfold.llm.secrets import secrets
 from starfold.llm.simhash import near_duplicates
+from starfold.llm.toxicity import toxicity_table
 from starfold.llm.url_filter import judge_urls, labelled_urls, train
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -90,3 +92,13 @@ def op8_chat_format(conversations: DataFrame) -> DataFrame:
     )
     turns = conversations.select("conv_id", "turn", "role", "text").unionByName(own)
     return read_back(format_conversations(turns)).drop("valid")
+
+
+@query("documents")
+def op3_pii_spans(documents: DataFrame) -> DataFrame:
+    return personal_data(documents).drop("found")
+
+
+@query("documents,labels")
+def op9_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    return toxicity_table(documents, labels)
