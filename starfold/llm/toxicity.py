@@ -23,8 +23,8 @@ WORD = re.compile(r"[^\W\d_]+")
 # Characters of labelled text the field is trained on, about; drawn by a hash of the id.
 TRAINING_CHARS = 16_000_000
 # A feature marks toxic words if so many toxic documents have it, and so small a part of its documents is not toxic.
-SUPPORT = 5
-LEAKAGE = 0.05
+SUPPORT = 4
+LEAKAGE = 0.2
 PREFIXES = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 WINDOW = 128
