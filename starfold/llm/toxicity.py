@@ -21,14 +21,16 @@ from starfold.llm.common import whole_text
 
 WORD = re.compile(r"[^\W\d_]+")
 # Characters of labelled text the field is trained on, about; drawn by a hash of the id.
-TRAINING_CHARS = 16_000_000
+TRAINING_CHARS = 12_000_000
 # A feature marks toxic words if so many toxic documents have it, and so small a part of its documents is not toxic.
 SUPPORT = 4
 LEAKAGE = 0.2
 PREFIXES = (3, 4, 5, 6)
-BUCKETS = 1 << 18
+BUCKETS = 1 << 21
 WINDOW = 128
-EPOCHS = 40
+EPOCHS = 6
+# Windows in a step of training.
+STEP_WINDOWS = 1000
 RATE = 0.5
 DECAY = 1e-4
 LIMIT = 12.0
@@ -128,77 +130,106 @@ def _logistic(rows: np.ndarray, truth: np.ndarray, rounds: int = 50) -> np.ndarr
     return weights
 
 
-def marking_features(sequences: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Features that mark toxic words: in ``SUPPORT`` toxic documents or more, and hardly in others."""
-    counts: dict[str, list[int]] = {}
-    for words, label in zip(sequences, toxic.tolist(), strict=True):
-        for feature in {f for word in set(words) for f in word_features(word)}:
-            counts.setdefault(feature, [0, 0])[label] += 1
-    return {f for f, (clean, bad) in counts.items() if bad >= SUPPORT and clean <= LEAKAGE * (clean + bad)}
+class Vocabulary:
+    """Words by number, and the buckets of their features as one flat table."""
 
+    def __init__(self):
+        self.index: dict[str, int] = {}
 
-def fit(texts: list[str], toxic: np.ndarray) -> Field:
-    """Train the field on labelled documents."""
-    sequences = [WORD.findall(text.lower()) for text in texts]
-    marks = marking_features(sequences, toxic)
-    index: dict[str, int] = {}
-    words = [np.array([index.setdefault(w, len(index)) for w in s], np.int64) for s in sequences]
-    vocabulary = list(index)
-    marked = np.array([any(f in marks for f in word_features(w)) for w in vocabulary], bool)
-    buckets = [feature_buckets(w) for w in vocabulary]
-    owner = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
-    flat = np.array([b for own in buckets for b in own], np.int64)
-
-    # windows of labelled tokens, padded
-    cut = [(w[at : at + WINDOW], y) for w, y in zip(words, toxic, strict=True) for at in range(0, len(w), WINDOW)]
-    tokens = np.zeros((WINDOW, len(cut)), np.int64)
-    truth, real = np.zeros((WINDOW, len(cut)), bool), np.zeros((WINDOW, len(cut)), bool)
-    for column, (window, label) in enumerate(cut):
-        tokens[: len(window), column] = window
-        real[: len(window), column] = True
-        truth[: len(window), column] = marked[window] & bool(label)
+    def numbers(self, text: str) -> np.ndarray:
+        index = self.index
+        return np.array([index.setdefault(word, len(index)) for word in WORD.findall(text.lower())], np.int32)
+
+    def close(self) -> None:
+        """Lay out the features of all words met so far."""
+        sizes = np.fromiter((1 + sum(len(w) > n for n in PREFIXES) for w in self.index), np.int32, len(self.index))
+        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.buckets = np.fromiter((b for w in self.index for b in feature_buckets(w)), np.int32, int(sizes.sum()))
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """For each word the sum of its features' weights."""
+        return np.bincount(self.owner, weights[self.buckets], len(self.index))
+
+    def marked(self, documents: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+        """Words with a feature of ``SUPPORT`` toxic documents or more that next to no other document has."""
+        seen = np.zeros((2, BUCKETS), np.int32)
+        for words, label in zip(documents, toxic.tolist(), strict=True):
+            own = np.unique(words)
+            if len(own):
+                features = np.concatenate([self.buckets[self.starts[w] : self.starts[w + 1]] for w in own.tolist()])
+                seen[label, np.unique(features)] += 1
+        marks = (seen[1] >= SUPPORT) & (seen[0] <= LEAKAGE * (seen[0] + seen[1]))
+        return self.sums(marks.astype(np.float32)) > 0
+
+
+def _gradients(tokens, truth, real, odds, logs, start) -> tuple[np.ndarray, np.ndarray, float]:
+    """Slopes of the likelihood of labelled windows (time, windows) for emissions, transitions and start."""
     sizes = real.sum(axis=0)
-    flip = np.where(real, sizes[None, :] - 1 - np.arange(WINDOW)[:, None], np.arange(WINDOW)[:, None])
+    time = np.arange(len(real))[:, None]
+    flip = np.where(real, sizes[None, :] - 1 - time, time)
+    transition = np.exp(logs)
+    forward = chain(odds, transition, np.exp(start))
+    backward = np.take_along_axis(chain_back(np.take_along_axis(odds, flip, 0), transition), flip, 0)
+    both = forward * backward
+    wrong = np.where(real, truth - both / (1 + both), 0.0)
+    # pairs of neighbouring states: as labelled, and as expected
+    pairs, right, left = real[1:], odds[1:] * backward[1:], forward[:-1]
+    mass = [[np.broadcast_to(transition[0, 0], right.shape), transition[0, 1] * right]]
+    mass.append([transition[1, 0] * left, transition[1, 1] * left * right])
+    norm = mass[0][0] + mass[0][1] + mass[1][0] + mass[1][1]
+    seen = [[((truth[:-1] == i) & (truth[1:] == j) & pairs).sum() for j in (False, True)] for i in (False, True)]
+    expected = [[np.where(pairs, m / norm, 0).sum() for m in row] for row in mass]
+    return wrong, np.array(seen, float) - np.array(expected), float(wrong[0].sum())
 
-    rate = min(0.4, max(1e-4, truth.sum() / max(1, real.sum())))
-    weights, bias = np.zeros(BUCKETS), 0.0
+
+def fit(texts: list[str], toxic: np.ndarray) -> Field:
+    """Train the field on labelled documents, in steps of ``STEP_WINDOWS`` windows."""
+    vocabulary = Vocabulary()
+    documents = [vocabulary.numbers(text) for text in texts]
+    vocabulary.close()
+    marked = vocabulary.marked(documents, toxic)
+    cut = [(w[at : at + WINDOW], y) for w, y in zip(documents, toxic.tolist(), strict=True) for at in range(0, len(w), WINDOW)]
+
+    count = sum(len(window) for window, _ in cut)
+    rate = sum(int(marked[window].sum()) for window, label in cut if label) / max(1, count)
+    rate = min(0.4, max(1e-4, rate))
+    weights, bias = np.zeros(BUCKETS, np.float32), 0.0
     logs, start = np.log(np.array([[1 - rate, rate], [1 - rate, rate]])), np.log(rate / (1 - rate))
-    sums = {"weights": np.full(BUCKETS, 1e-6), "bias": 1e-6, "logs": np.full((2, 2), 1e-6), "start": 1e-6}
-    pairs = real[1:]
-    seen = np.array([[((truth[:-1] == i) & (truth[1:] == j) & pairs).sum() for j in (0, 1)] for i in (0, 1)], float)
-    for _ in range(EPOCHS if len(cut) else 0):
-        logit = bias + np.bincount(owner, weights[flat], len(vocabulary))
-        odds = np.where(real, np.exp(np.clip(logit, -LIMIT, LIMIT))[tokens], 1.0)
-        transition = np.exp(logs)
-        forward = chain(odds, transition, np.exp(start))
-        backward = np.take_along_axis(chain_back(np.take_along_axis(odds, flip, 0), transition), flip, 0)
-        both = forward * backward
-        wrong = np.where(real, truth - both / (1 + both), 0.0)
-        # expected pairs of neighbouring states
-        right = odds[1:] * backward[1:]
-        mass = [[transition[0, 0], transition[0, 1] * right], [transition[1, 0] * forward[:-1], transition[1, 1] * forward[:-1] * right]]
-        norm = sum(m for row in mass for m in row)
-        expected = np.array([[np.where(pairs, m / norm, 0).sum() for m in row] for row in mass])
-        by_word = np.bincount(tokens.ravel(), wrong.ravel(), len(vocabulary))
-        steps = {
-            "weights": np.bincount(flat, by_word[owner], BUCKETS) / len(cut) - DECAY * weights,
-            "bias": wrong.sum() / len(cut) - DECAY * bias,
-            "logs": (seen - expected) / len(cut) - DECAY * logs,
-            "start": wrong[0].sum() / len(cut) - DECAY * start,
-        }
-        for name, slope in steps.items():
-            sums[name] = sums[name] + slope**2
-            steps[name] = RATE * slope / np.sqrt(sums[name])
-        weights, bias = weights + steps["weights"], bias + steps["bias"]
-        logs, start = logs + steps["logs"], start + steps["start"]
-
-    field = Field(weights, float(bias), np.exp(logs), float(np.exp(start)), np.zeros(3))
-    logit = bias + np.bincount(owner, weights[flat], len(vocabulary)) if len(vocabulary) else np.zeros(0)
-    rows = [document_features(p) for p in marginals([logit[w] for w in words], field.transition, field.start)]
-    if rows:
-        field.scale = _logistic(np.array(rows), toxic.astype(float))
-    else:
-        field.scale = np.array([-30.0, 0.0, 0.0])
+    sums = {"weights": np.full(BUCKETS, 1e-6, np.float32), "bias": 1e-6, "logs": np.full((2, 2), 1e-6), "start": 1e-6}
+    order = np.random.default_rng(13)
+    for _ in range(EPOCHS):
+        shuffled = order.permutation(len(cut))
+        for at in range(0, len(cut), STEP_WINDOWS):
+            group = [cut[k] for k in shuffled[at : at + STEP_WINDOWS].tolist()]
+            tokens = np.zeros((WINDOW, len(group)), np.int32)
+            truth, real = np.zeros(tokens.shape, bool), np.zeros(tokens.shape, bool)
+            for column, (window, label) in enumerate(group):
+                tokens[: len(window), column] = window
+                real[: len(window), column] = True
+                truth[: len(window), column] = marked[window] & bool(label)
+            logit = np.clip(bias + vocabulary.sums(weights), -LIMIT, LIMIT)
+            odds = np.where(real, np.exp(logit)[tokens], 1.0)
+            wrong, moved, first = _gradients(tokens, truth, real, odds, logs, start)
+            by_word = np.bincount(tokens.ravel(), wrong.ravel(), len(vocabulary.index))
+            slopes = {
+                "weights": np.bincount(vocabulary.buckets, by_word[vocabulary.owner], BUCKETS).astype(np.float32) / len(group)
+                - np.float32(DECAY) * weights,
+                "bias": wrong.sum() / len(group) - DECAY * bias,
+                "logs": moved / len(group) - DECAY * logs,
+                "start": first / len(group) - DECAY * start,
+            }
+            for name, slope in slopes.items():
+                sums[name] = sums[name] + slope**2
+                slopes[name] = RATE * slope / np.sqrt(sums[name])
+            weights, bias = weights + slopes["weights"], bias + slopes["bias"]
+            logs, start = logs + slopes["logs"], start + slopes["start"]
+
+    field = Field(weights, float(bias), np.exp(logs), float(np.exp(start)), np.array([-30.0, 0.0, 0.0]))
+    if documents:
+        logit = bias + vocabulary.sums(weights)
+        chances = marginals([logit[w] for w in documents], field.transition, field.start)
+        field.scale = _logistic(np.array([document_features(p) for p in chances]), toxic.astype(float))
     return field
 
 
@@ -208,12 +239,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, chars: int = TRAINING_CHAR
     Texts longer than a hundredth of the bound are not drawn. Of several labels of a document the worst counts.
     """
     worst = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", whole_text().alias("text")).join(worst, "doc_id")
-    rows = rows.where(F.length("text") <= chars // 100)
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = F.length(whole_text())
+    short = docs.where(size <= chars // 100).select("doc_id", whole_text().alias("text"))
+    sizes = short.select("doc_id", F.length("text").alias("size"))
+    total = sizes.join(worst, "doc_id").agg(F.sum("size")).first()[0] or 0
     if total > chars:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * chars / total))
-    return rows.orderBy("doc_id", "text").select("text", F.col("toxic").cast("int").alias("toxic"))
+        short = short.where(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * chars / total))
+    rows = short.join(worst, "doc_id").orderBy("doc_id", "text")
+    return rows.select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, chars: int = TRAINING_CHARS) -> Field:
