@@ -27,7 +27,7 @@ UNITS = "km|cm|mm|kg|mg|ml|mph|kmh|lbs?|oz|ft|inch(?:es)?|miles?|met(?:er|re)s?|
 # A token: a marked name, a number with its inner points, letters with inner apostrophes, or a sign of currency or percent.
 TOKEN = NAME + r"\p{L}++|[0-9]++(?:[.,][0-9]++)*+|\p{L}++(?:['’]\p{L}++)*+|[%$€£]"
 # Title case within a sentence: after a word, comma or the like and blanks, not after the end of a sentence.
-INNER_NAME = r"(?<=[\p{L}\p{N},;:)\x22'’])([ \t]+)(\p{Lu}\p{Ll}++)(?!\p{L})"
+INNER_NAME = r"(?<=[\p{L}\p{N},;:)\x22'’])(\s+)(\p{Lu}\p{Ll}++)(?!\p{L})"
 
 
 def tokens(text: Column) -> Column:
@@ -53,7 +53,7 @@ def template(words: Column) -> Column:
 
 def with_units(text: Column) -> Column:
     """Units after a number, as the sign of one, so that they are typed like it."""
-    return F.regexp_replace(text, r"(?i)([0-9])([ \t]?)(?:" + UNITS + r")(?![\p{L}])", "$1$2%")
+    return F.regexp_replace(text, r"(?i)([0-9])(\s{0,8})(?:" + UNITS + r")(?![\p{L}])", "$1$2%")
 
 
 def _templates(table: DataFrame) -> DataFrame:

@@ -29,8 +29,9 @@ PREFIXES = (3, 4, 5, 6)
 BUCKETS = 1 << 21
 WINDOW = 128
 EPOCHS = 6
-# Windows in a step of training.
+# Windows in a step of training, and the least number of steps: few labelled rows are gone through more often.
 STEP_WINDOWS = 1000
+STEPS = 60
 RATE = 0.5
 DECAY = 1e-4
 LIMIT = 12.0
@@ -198,7 +199,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Field:
     logs, start = np.log(np.array([[1 - rate, rate], [1 - rate, rate]])), np.log(rate / (1 - rate))
     sums = {"weights": np.full(BUCKETS, 1e-6, np.float32), "bias": 1e-6, "logs": np.full((2, 2), 1e-6), "start": 1e-6}
     order = np.random.default_rng(13)
-    for _ in range(EPOCHS):
+    steps = -(-len(cut) // STEP_WINDOWS)
+    for _ in range(max(EPOCHS, -(-STEPS // steps)) if steps else 0):
         shuffled = order.permutation(len(cut))
         for at in range(0, len(cut), STEP_WINDOWS):
             group = [cut[k] for k in shuffled[at : at + STEP_WINDOWS].tolist()]
