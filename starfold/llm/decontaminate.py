@@ -27,7 +27,7 @@ UNITS = "km|cm|mm|kg|mg|ml|mph|kmh|lbs?|oz|ft|inch(?:es)?|miles?|met(?:er|re)s?|
 # A token: a marked name, a number with its inner points, letters with inner apostrophes, or a sign of currency or percent.
 TOKEN = NAME + r"\p{L}++|[0-9]++(?:[.,][0-9]++)*+|\p{L}++(?:['’]\p{L}++)*+|[%$€£]"
 # Title case within a sentence: after a word, comma or the like and blanks, not after the end of a sentence.
-INNER_NAME = r"(?<=[\p{L}\p{N},;:)\x22'’])(\s+)(\p{Lu}\p{Ll}++)(?!\p{L})"
+INNER_NAME = r"(?=\s)(?<=[\p{L}\p{N},;:)\x22'’])(\s+)(\p{Lu}\p{Ll}++)(?!\p{L})"
 
 
 def tokens(text: Column) -> Column:
@@ -60,14 +60,35 @@ def _templates(table: DataFrame) -> DataFrame:
     return table.withColumn("words", tokens(F.col("text"))).withColumn("typed", template(F.col("words")))
 
 
-def _windows(width: Column) -> Column:
-    """(place, hash, width) of each window of ``width`` words of ``typed`` that has enough literal words."""
-    last = F.size("typed") - width
+def _with_spans(table: DataFrame, width: int) -> DataFrame:
+    """Add ``span1, span2, span4, ...`` up to ``width``: hashes of that many words from each place on.
+
+    Each column combines neighbours of the one before, so that a window costs a few combinations of
+    numbers instead of ``width`` words.
+    """
+    table, size = table.withColumn("span1", F.transform("typed", lambda w: F.xxhash64(w))), 1
+    while 2 * size <= width:
+        table = table.withColumn(f"span{2 * size}", _joined(F.col(f"span{size}"), F.col(f"span{size}"), size))
+        size *= 2
+    return table
+
+
+def _joined(left: Column, right: Column, after: int) -> Column:
+    """Hashes of the spans of ``left`` with those of ``right`` that begin ``after`` words later."""
+    later = F.slice(right, F.lit(after + 1), F.greatest(F.size("typed"), F.lit(1)))
+    return F.zip_with(left, later, lambda a, b: F.xxhash64(a, b))
 
-    def window(at: Column) -> Column:
-        return F.struct(at.alias("place"), F.xxhash64(F.slice("typed", at + 1, width)).alias("hash"), width.alias("width"))
 
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), window))
+def _windows(width: int) -> Column:
+    """(place, hash, width) of each window of ``width`` words, from the spans; none if there are fewer words."""
+    found, covered, size = None, 0, 1
+    while size <= width:
+        if width & size:
+            found = F.col(f"span{size}") if found is None else _joined(found, F.col(f"span{size}"), covered)
+            covered += size
+        size *= 2
+    whole = F.slice(found, F.lit(1), F.greatest(F.size("typed") - width + 1, F.lit(0)))
+    return F.transform(whole, lambda h, at: F.struct(at.alias("place"), h.alias("hash"), F.lit(width).alias("width")))
 
 
 def _slots(place: Column, width: Column) -> Column:
@@ -86,7 +107,10 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LIT
     items = benchmark.select("item_id", whole_text().alias("text")).distinct()
     items = _templates(items).where(F.size("typed") > 0)
     items = items.withColumn("width", F.least(F.lit(window), F.size("typed")))
-    found = items.withColumn("window", F.explode(_windows(F.col("width"))))
+    items, own = _with_spans(items, window), F.lit(None)
+    for width in range(1, window + 1):
+        own = F.when(F.col("width") == width, _windows(width)).otherwise(own)
+    found = items.withColumn("window", F.explode(own))
     content = F.slice("typed", F.col("window.place") + 1, F.col("width"))
     found = found.where(F.size(F.filter(content, lambda w: ~w.isin(NUMBER, UNIT, NAME))) >= literals)
     found = found.select(
@@ -117,9 +141,9 @@ def matched_windows(keyed: DataFrame, windows: DataFrame, broadcast_windows: int
     if windows.count() <= broadcast_windows:
         hashes, windows = F.broadcast(hashes), F.broadcast(windows)
     widths = sorted(row[0] for row in windows.select("width").distinct().collect())  # at most the window's width
-    none = F.array().cast("array<struct<place:int,hash:bigint,width:int>>")
-    every = F.concat(*(F.coalesce(_windows(F.lit(w)), none) for w in widths or [WINDOW]))
-    span = _templates(keyed).select("id_key", "mark_key", F.explode(every).alias("span"))
+    every = F.concat(*map(_windows, widths or [WINDOW]))
+    spans = _with_spans(_templates(keyed), max(widths or [WINDOW]))
+    span = spans.select("id_key", "mark_key", F.explode(every).alias("span"))
     span = span.select("id_key", "mark_key", "span.place", "span.hash", "span.width")
     matched = span.join(hashes, ["hash", "width"], "left_semi")
     matched = matched.groupBy("id_key", "mark_key").agg(F.collect_set(F.struct("place", "hash", "width")).alias("spans"))
