@@ -61,18 +61,21 @@ def with_hash_key(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     return df.withColumn(key, hash_key(*[F.col(c) for c in cols]))
 
 
-def with_row_id(df: DataFrame, order: Sequence[str], key: str = "row_id", start: int = 1) -> DataFrame:
+def with_row_id(
+    df: DataFrame, order: Sequence[str], key: str = "row_id", start: int = 1, path: str | None = None
+) -> DataFrame:
     """Number the rows ``start, start + 1, ...`` in ``order``, without gaps and without one big task.
 
     The rows are range-partitioned and sorted in parallel, then written to the shared folder with
     their partition and position. The count of each partition gives the next one's offset; that
     little table has one row per shuffle partition. Since positions are stored, a lost executor
     cannot change them. Rows that tie on ``order`` are ranged by the input partition they come from,
-    so that even a third of all rows sharing one time is split over many tasks.
+    so that even a third of all rows sharing one time is split over many tasks. ``path`` is where the
+    positions are kept, and overwritten by the next run; by default a new working folder.
     """
     spark = df.sparkSession
     by = [*order, "__from"]
-    path = scratch_dir(spark, "row-id")
+    path = path or scratch_dir(spark, "row-id")
     (
         df.withColumn("__from", F.spark_partition_id())
         .repartitionByRange(*by)
@@ -81,7 +84,7 @@ def with_row_id(df: DataFrame, order: Sequence[str], key: str = "row_id", start:
         .withColumn("__part", F.spark_partition_id())
         # the low 33 bits of this id count the rows of a partition
         .withColumn("__off", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .write.parquet(path)
+        .write.mode("overwrite").parquet(path)
     )
     ranged = spark.read.parquet(path)
     sizes = ranged.groupBy("__part").agg((F.max("__off") + 1).alias("__n"))

@@ -1,4 +1,4 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+"""Equi-joins and counts through a join."""
 
 from __future__ import annotations
 
@@ -7,40 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = "__salt"
-DEFAULT_SALTS = 16
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is within the session's limit for broadcasting."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimated_bytes(df) <= limit
-
-
-def spread_join(
-    big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner", salts: int = DEFAULT_SALTS
-) -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big`` to ``small`` on equally named columns (``inner``, ``left``, ``left_semi`` or ``left_anti``).
 
-    * ``small`` within the broadcast limit: left to Spark, which then shuffles neither side.
-    * ``small`` well below ``big``: each key of ``big`` is spread over ``salts`` tasks and ``small`` is
-      repeated as often, so a key with a third of all rows, or the null key of a left join, is never
-      one task. A row's salt comes from its input partition, so a recomputed task sends its rows to
-      the same places.
-    * both large: repeating would cost more than the join; Spark's adaptive skew join splits the
-      oversized partitions (``session.prepare`` turns it on).
+    The join is left to Spark, so filters and columns still reach the scans. A side within the broadcast limit
+    is broadcast by its measured size; else the adaptive skew join, which ``session.prepare`` turns on,
+    splits the partition of a hot key, or of the null keys of a left join, over many tasks.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(small) or estimated_bytes(small) * salts > estimated_bytes(big):
-        return big.join(small, keys, how)
-    salted = big.withColumn(SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, SALT], how).drop(SALT)
+    return big.join(small, [on] if isinstance(on, str) else list(on), how)
 
 
 def count_through(

@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.dims import first_per_key, latest_per_key
-from starfold.operators.joins import fits_broadcast
 
 __all__ = ["absent_rows", "first_per_key", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
 
 
 def _both(base: DataFrame, delta: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Base and delta rows; ``__side`` puts every base row before every delta row."""
+    """Base and delta rows; ``__side`` tells them apart, base rows first."""
     return base.select(*columns, F.lit(0).alias("__side")).unionByName(
         delta.select(*columns, F.lit(1).alias("__side"))
     )
@@ -30,16 +29,18 @@ def upsert_partial(
 ) -> DataFrame:
     """Insert new keys; for known keys update only the ``last_wins`` columns.
 
-    ``first_wins`` columns keep the value a key was first seen with. The latest ``order`` values are
-    kept, so the result can be the base of the next batch. Applying a batch twice changes nothing.
+    ``first_wins`` columns keep the value a key was first inserted with. ``last_wins`` columns are those
+    of the latest row by ``order``, so a late batch of older rows does not undo newer ones; on equal order
+    the delta wins. The latest ``order`` values are kept, so the result can be the base of the next batch.
+    Applying a batch twice changes nothing.
     """
     kept = [*last_wins, *[c for c in order if c not in (*keys, *first_wins, *last_wins)]]
     both = _both(base, delta, [*keys, *first_wins, *kept])
-    when = F.struct("__side", *order)
+    inserted, when = F.struct("__side", *order), F.struct(*order, "__side")
     return (
         both.groupBy(*keys)
         .agg(
-            F.min_by(F.struct(*first_wins), when).alias("__first"),
+            F.min_by(F.struct(*first_wins), inserted).alias("__first"),
             F.max_by(F.struct(*kept), when).alias("__last"),
         )
         .select(
@@ -51,21 +52,21 @@ def upsert_partial(
 
 
 def upsert_full(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Insert new keys; for known keys replace the row by the delta's latest."""
+    """Insert new keys; of known keys keep the latest row by ``order``, the delta's on equal order."""
     both = _both(base, delta, base.columns)
-    return latest_per_key(both, keys, ["__side", *order]).drop("__side")
+    return latest_per_key(both, keys, [*order, "__side"]).drop("__side")
 
 
 def absent_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first delta row of each key that ``base`` lacks.
 
-    Only the base's keys are moved, not its rows; if the delta fits a broadcast, only the keys that
-    the delta has too.
+    Only the base's keys are moved, not its rows. Null keys are equal, so a batch applied twice adds
+    nothing the second time.
     """
-    incoming, known = first_per_key(delta, keys, order), base.select(*keys)
-    if fits_broadcast(delta):
-        known = known.join(delta.select(*keys), list(keys), "left_semi")
-    return incoming.join(known, list(keys), "left_anti").select(*delta.columns)
+    incoming = first_per_key(delta, keys, order)
+    known = base.select(*[F.col(k).alias(f"__known_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in keys]
+    return incoming.join(known, same, "left_anti").select(*delta.columns)
 
 
 def insert_if_absent(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

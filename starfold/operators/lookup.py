@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 
 from starfold.functions.geo import unit_vector
 from starfold.functions.labels import NOT_IN_DICTIONARY, fill_sentinel
-from starfold.operators.joins import estimated_bytes, spread_join
+from starfold.operators.joins import spread_join
+from starfold.session import scratch_dir
 
 
 def map_codes(
@@ -66,57 +66,47 @@ def _sum_of_squares(terms: list[Column]) -> Column:
     return terms[0] * terms[0] + terms[1] * terms[1] + terms[2] * terms[2]
 
 
-# Used where the number of sites cannot be estimated: cells of about 50 km.
-_USUAL_DEPTH, _MAX_DEPTH = 4, 8
+# Sites a leaf cell may hold before the tree gets another level; at the last level a cell is 12 m wide.
+LEAF_SITES, MAX_DEPTH = 32, 10
 
 
-def search_depth(sites: DataFrame) -> int:
-    """Levels at which a cell holds about one site, by the optimizer's size estimate.
+def search_depth(located: DataFrame) -> int:
+    """The first level at which no cell holds more than ``LEAF_SITES`` of ``located`` (x, y, z).
 
-    The sphere meets about pi * 16 ** level cells, and a site takes at least 24 bytes. Too many
-    levels cost little, since a cell with one site has one child.
+    All levels are counted in one pass; a row per level reaches the driver.
     """
-    size = estimated_bytes(sites)
-    if size >= 1 << 62:
-        return _USUAL_DEPTH
-    return min(max(math.ceil(math.log(max(size / 24, 1) / math.pi, 16)), 2), _MAX_DEPTH)
+    cells = F.array(*(F.struct(F.lit(n).alias("level"), _cell(n).alias("cell")) for n in range(1, MAX_DEPTH + 1)))
+    counted = located.select(F.inline(cells)).groupBy("level", "cell").count()
+    fullest = dict(counted.groupBy("level").agg(F.max("count")).collect())
+    return next((n for n in sorted(fullest) if fullest[n] <= LEAF_SITES), MAX_DEPTH) if fullest else 1
 
 
-def nearest_site(
-    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str], depth: int | None = None
-) -> DataFrame:
-    """Add columns of the nearest site to each point; ``keep`` maps site column -> new name.
-
-    ``sites`` has ``site_id, lat, lon`` and the kept columns. Ties go to the lowest ``site_id``.
-
-    The search descends a tree of cube cells around the sphere, a level per join. A point follows
-    only cells that may still hold its nearest site: those whose closest possible site is no farther
-    than the farthest possible site of some other cell. So the rows per point stay few however
-    densely the sites lie, the result is exact, and no point meets all sites. Each distinct place
-    is searched once, whatever share of the points it has. ``depth`` is the number of levels; by
-    default it grows with the estimated number of sites.
-    """
-    depth = depth or search_depth(sites)
+def located_sites(sites: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The distinct places of ``sites`` as unit vectors, each with its lowest site; no nulls or NaN."""
     x, y, z = unit_vector(F.col("lat"), F.col("lon"))
-    located = (
-        sites.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return (
+        sites.filter(_is_place("lat", "lon"))
         .groupBy("lat", "lon")
         .agg(F.min(F.struct("site_id", *[c for c in keep if c != "site_id"])).alias("__site"))
         .withColumns({"x": x, "y": y, "z": z})
     )
-    real = F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
-    spots = (
-        points.filter(real)
-        .select(F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-        .distinct()
-        .withColumns({"x": x, "y": y, "z": z})
-    )
+
+
+def _is_place(lat: str, lon: str) -> Column:
+    numbers = [F.col(c).cast("double") for c in (lat, lon)]
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(numbers[0]) & ~F.isnan(numbers[1])
+
+
+def leaf_candidates(spots: DataFrame, located: DataFrame, depth: int) -> DataFrame:
+    """The leaf cells (``__cell``) that may hold the nearest site of each spot (lat, lon, x, y, z)."""
     per_spot = Window.partitionBy("lat", "lon")
     # the search starts from the 4 ** 3 cells of the first level; 4 is the largest squared distance
     first = F.sequence(F.lit(0).cast("bigint"), F.lit(4**3 - 1).cast("bigint"))
     cand = spots.select("*", F.lit(4.0).alias("__best"), F.explode(first).alias("__cell"))
     for level in range(1, depth + 1):
-        joined = spread_join(cand, _boxes(located, level), "__cell")
+        boxes = _boxes(located, level)
+        # the first level has at most 64 boxes
+        joined = spread_join(cand, F.broadcast(boxes) if level == 1 else boxes, "__cell")
         below = [
             F.greatest(F.col(f"__lo_{a}") - F.col(a), F.col(a) - F.col(f"__hi_{a}"), F.lit(0.0)) for a in _AXES
         ]
@@ -131,6 +121,32 @@ def nearest_site(
             .filter(F.col("__near") <= F.col("__best") + _SLACK)
             .select("lat", "lon", *_AXES, "__best", F.col("__child").alias("__cell"))
         )
+    return cand
+
+
+def nearest_site(
+    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str], depth: int | None = None
+) -> DataFrame:
+    """Add columns of the nearest site to each point; ``keep`` maps site column -> new name.
+
+    ``sites`` has ``site_id, lat, lon`` and the kept columns. Ties go to the lowest ``site_id``; points
+    and sites without a place (null or NaN) find and are found by nothing.
+
+    The sites are written once to the shared folder, with their unit vectors. The search descends a tree
+    of cube cells around the sphere, a level per join. A point follows only cells that may still hold
+    its nearest site: those whose closest possible site is no farther than the farthest possible site of
+    some other cell. The tree is as deep as the counted sites ask for, so that a leaf holds few sites
+    also in a dense town; only sites within 12 m of each other share a leaf without limit. The result is
+    exact. Each distinct place is searched once, whatever share of the points it has.
+    """
+    located = located_sites(sites, list(keep))
+    path = scratch_dir(sites.sparkSession, "sites")
+    located.write.parquet(path)
+    located = sites.sparkSession.read.schema(located.schema).parquet(path)
+    depth = depth or search_depth(located)
+    x, y, z = unit_vector(F.col("lat"), F.col("lon"))
+    spots = points.filter(_is_place(lat, lon)).select(F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct()
+    cand = leaf_candidates(spots.withColumns({"x": x, "y": y, "z": z}), located, depth)
     leaves = located.select(
         _cell(depth).alias("__cell"), "__site", *[F.col(a).alias(f"__s{a}") for a in _AXES]
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.operators.analytics import union_parts
@@ -75,6 +75,21 @@ def not_empty(df: DataFrame, table: str) -> DataFrame:
     return _rows(one, [_result(table, "not_empty", "*", F.col("n"))])
 
 
+def present(spark: SparkSession, name: str) -> DataFrame:
+    """The table ``name`` exists; a missing one fails with one failing row instead of an error."""
+    return _rows(spark.range(1), [_result(name, "present", "*", F.lit(0 if spark.catalog.tableExists(name) else 1).cast("bigint"))])
+
+
+def layout(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Files, bytes and rows of a Parquet table, from the files' own metadata and row counts."""
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    per_file = files.groupBy("file", "size").agg(F.count("*").alias("rows"))
+    return per_file.agg(
+        F.count("*").alias("n_files"), F.coalesce(F.sum("size"), F.lit(0)).alias("n_bytes"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.max("size"), F.lit(0)).alias("largest_file"),
+    ).select(F.lit(table).alias("table_name"), "*")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table_name, n_rows)`` of each table."""
     return union_parts(
@@ -82,10 +97,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, table: str, distinct: bool = False) -> DataFrame:
+def profile(df: DataFrame, table: str, distinct: bool | str = False) -> DataFrame:
     """Rows, nulls, smallest and largest text of each column in one pass.
 
-    ``distinct`` adds an estimated number of distinct values.
+    ``distinct`` adds an estimated number of distinct values, ``"exact"`` the number itself, which shuffles
+    the values of each column.
     """
     cols = df.columns
     aggs = [F.count("*").alias("__rows")]
@@ -96,7 +112,8 @@ def profile(df: DataFrame, table: str, distinct: bool = False) -> DataFrame:
             F.max(c).cast("string").alias(f"{i}_max"),
         ]
         if distinct:
-            aggs.append(F.approx_count_distinct(c).alias(f"{i}_distinct"))
+            counted = F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c)
+            aggs.append(counted.alias(f"{i}_distinct"))
     rows = []
     for i, c in enumerate(cols):
         fields = [
@@ -105,7 +122,7 @@ def profile(df: DataFrame, table: str, distinct: bool = False) -> DataFrame:
             F.col(f"{i}_max").alias("max_value"),
         ]
         if distinct:
-            fields.append(F.col(f"{i}_distinct").alias("n_distinct_estimate"))
+            fields.append(F.col(f"{i}_distinct").alias("n_distinct" if distinct == "exact" else "n_distinct_estimate"))
         rows.append(F.struct(*fields))
     return _rows(df.agg(*aggs), rows)
 

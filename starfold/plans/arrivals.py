@@ -14,7 +14,7 @@ from starfold.operators import quality
 from starfold.operators.analytics import topk_then_join
 from starfold.operators.dims import calendar_mean
 from starfold.operators.lookup import lookup_name, map_codes, nearest_site
-from starfold.sinks.files import load_table, write_parquet
+from starfold.sinks.files import load_table, open_table, write_parquet
 from starfold.sources.files import read_csv, read_parquet
 
 # The coded columns, each with the schema of its dictionary file.
@@ -132,9 +132,19 @@ TABLE_SCHEMAS = {
 }
 
 
-def load_arrivals(spark: SparkSession, clean_dir: str) -> dict[str, DataFrame]:
-    """Open the cleaned tables against their declared schemas."""
-    return {t: load_table(spark, f"{clean_dir}/{t}", schema) for t, schema in TABLE_SCHEMAS.items()}
+def open_arrivals(spark: SparkSession, clean_dir: str) -> dict[str, DataFrame]:
+    """The cleaned tables against their declared schemas."""
+    return {t: open_table(spark, f"{clean_dir}/{t}", schema) for t, schema in TABLE_SCHEMAS.items()}
+
+
+def load_arrivals(
+    spark: SparkSession, clean_dir: str, prefix: str = "", mode: str = "replace", location: str | None = None
+) -> dict[str, DataFrame]:
+    """Load the cleaned files into tables named ``prefix`` and the table; ``location`` as in ``load_table``."""
+    return {
+        t: load_table(spark, f"{clean_dir}/{t}", schema, prefix + t, mode, location and f"{location}/{t}")
+        for t, schema in TABLE_SCHEMAS.items()
+    }
 
 
 def check_arrivals(tables: Mapping[str, DataFrame]) -> DataFrame:

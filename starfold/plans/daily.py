@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starfold import schemas
 from starfold.operators.dims import time_dimension
@@ -13,7 +14,10 @@ from starfold.operators.facts import match_staging, with_hash_key
 from starfold.operators.quality import assert_quality, not_null
 from starfold.plans import listens as L
 from starfold.sinks.files import materialize, write_parquet
-from starfold.sources.files import run_path, stage
+from starfold.sources.files import read_if_present, run_path, stage
+
+# The load_date of a load without a date.
+WHOLE = "all"
 
 
 def run_daily(
@@ -22,11 +26,13 @@ def run_daily(
 ) -> DataFrame:
     """Load the log of ``run_date`` (all of it if none is given) and return the loaded ``songplays``.
 
-    Tables are partitioned by ``load_date``. ``overwrite`` replaces the run date's partition, so a
-    rerun loads nothing twice; ``append`` adds to it. Raises ``QualityError`` on null keys.
+    Tables are partitioned by ``load_date``. ``overwrite`` replaces the run date's partition, also by
+    nothing, so a rerun loads nothing twice and leaves nothing stale; ``append`` adds to it. A load
+    without a date takes the place of all dates, and is refused where it would add to them; a dated load
+    is refused on top of it. Raises ``QualityError`` on null keys.
     """
     rel = run_path(log_path, run_date) if run_date else "log_data"
-    load_date = str(run_date) if run_date else "all"
+    load_date = str(run_date) if run_date else WHOLE
     staging = f"{out_dir}/staging/{load_date}"
     events = stage(spark, f"{in_dir}/{rel}", schemas.LISTEN_LOG, millis_cols=["ts"], recursive=run_date is None)
     played = L.staged_plays(events, f"{staging}/plays")
@@ -34,12 +40,20 @@ def run_daily(
         stage(spark, f"{in_dir}/song_data", schemas.SONG_METADATA, recursive=True), f"{staging}/songs"
     )
 
+    dates = read_if_present(spark, f"{out_dir}/songplays", "load_date STRING").select("load_date").distinct()
+    mixed = dates.filter((F.col("load_date") == WHOLE) != F.lit(run_date is None))
+    if (run_date or mode == "append") and not mixed.isEmpty():
+        raise ValueError(f"{out_dir} holds a load of another kind; a whole and a dated load would repeat rows")
+
     def load(table: str, df: DataFrame) -> DataFrame:
-        # all rows go to one partition, so bringing equal values together would only shuffle them
-        dated = df.withColumn("load_date", F.lit(load_date))
-        path, replace = f"{out_dir}/{table}", mode == "overwrite"
-        write_parquet(dated, path, ["load_date"], mode=mode, dynamic=replace, rebalance=False)
-        return spark.read.parquet(f"{out_dir}/{table}").filter(F.col("load_date") == load_date).select(*df.columns)
+        # the partition is written as a folder of its own, which is replaced even if there are no rows
+        path = f"{out_dir}/{table}"
+        if run_date is None and mode == "overwrite":
+            write_parquet(df.withColumn("load_date", F.lit(WHOLE)), path, ["load_date"], rebalance=False)
+        else:
+            write_parquet(df, f"{path}/load_date={load_date}", mode=mode)
+        stored = spark.read.schema(StructType([*df.schema.fields, StructField("load_date", StringType())])).parquet(path)
+        return stored.filter(F.col("load_date") == load_date).select(*df.columns)
 
     matched = match_staging(L.listens(played), songs)
     # the time's text is fixed to milliseconds, which is what the log holds

@@ -1,7 +1,7 @@
 """Keyed incremental build: each run adds a batch of files to the tables.
 
-A table is a folder of batches. A run reads the batches before its own and writes only what it adds,
-so its cost follows the new files, and running a batch again replaces what it wrote.
+A table is a folder of batches. A run reads the keys of the batches before its own and writes only what it
+adds. The last batch may be run again and is replaced; an earlier one may not, as later ones build on it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from starfold.operators.keyed import absent_rows, first_per_key, upsert_partial
 from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
 from starfold.sinks.files import materialize, write_parquet
-from starfold.sources.files import read_json
+from starfold.sources.files import read_if_present, read_json
 
 # A user's place in the log; level breaks ties, so equal times give equal results on every run.
 USER_ORDER = ["ts", "session_id", "item", "level"]
@@ -40,8 +40,12 @@ def run_keyed(
 
     Songs, artists and times keep the row of the first batch that had them. Users keep their first
     name and gender and get the latest level (see ``users``). Every play is kept once, with null ids
-    where no song matches; its number goes on from the batch before.
+    where no song matches; its number goes on from the batch before. Raises ``ValueError`` if a later
+    batch exists.
     """
+    done = read_if_present(spark, f"{out_dir}/songplays", "batch INT").agg(F.max("batch")).first()[0]
+    if done is not None and done > batch:
+        raise ValueError(f"batch {batch} cannot be replaced: batch {done} builds on it")
 
     def add(table: str, rows: DataFrame) -> None:
         write_parquet(rows, f"{out_dir}/{table}/batch={batch}")
@@ -70,11 +74,9 @@ def run_keyed(
     fact = enforce_not_null(
         match_left_first(L.listens(played), songs, artists).select(*L.SONGPLAYS), "songplays", ["start_time", "user_id"]
     )
-    start = 1
-    if batch:
-        last = _batches(spark, out_dir, "songplays", batch).agg(F.max("songplay_id")).first()[0]
-        start = (last or 0) + 1
-    add("songplays", with_row_id(fact, L.SONGPLAYS, "songplay_id", start))
+    # numbers are dense, so the count, which the files' footers hold, is the last one
+    start = 1 + (_batches(spark, out_dir, "songplays", batch).count() if batch else 0)
+    add("songplays", with_row_id(fact, L.SONGPLAYS, "songplay_id", start, f"{staging}/numbered"))
 
 
 def songplays(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -82,10 +84,10 @@ def songplays(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, out_dir: str) -> DataFrame:
-    """One row per user over all batches: first name and gender, latest level."""
+    """One row per user over all batches: name and gender of the first batch, level of the latest play."""
     versions = spark.read.parquet(f"{out_dir}/users")
-    when = F.struct("batch", *USER_ORDER)
     merged = versions.groupBy("user_id").agg(
-        F.min_by(F.struct(*USER_KEPT), when).alias("kept"), F.max_by("level", when).alias("level")
+        F.min_by(F.struct(*USER_KEPT), F.struct("batch", *USER_ORDER)).alias("kept"),
+        F.max_by("level", F.struct(*USER_ORDER, "batch")).alias("level"),
     )
     return merged.select("user_id", "kept.*", "level")

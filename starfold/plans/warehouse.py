@@ -35,7 +35,7 @@ def run_warehouse(
     fact = match_inner(L.listens(played), songs, artists).select(*L.SONGPLAYS)
     fact = enforce_not_null(fact, "songplays", L.REQUIRED)
     # numbering already sorts the fact by start_time, which is its sort key
-    write_parquet(with_row_id(fact, L.SONGPLAYS, "songplay_id", start=0), f"{out_dir}/songplays")
+    write_parquet(with_row_id(fact, L.SONGPLAYS, "songplay_id", 0, f"{out_dir}/staging/numbered"), f"{out_dir}/songplays")
     songplays = spark.read.parquet(f"{out_dir}/songplays").select("songplay_id", *L.SONGPLAYS)
 
     write_parquet(clustered(L.users(played), "user_id", ["user_id"]), f"{out_dir}/users")

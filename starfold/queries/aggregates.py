@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators import analytics, dims, facts, quality
 from starfold.queries.registry import Tables, query
-from starfold.sinks.files import write_parquet
+from starfold.sinks.files import load_table, write_parquet
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -228,3 +230,38 @@ def dq_referential(t: Tables) -> DataFrame:
 )
 def table_profile(t: Tables) -> DataFrame:
     return quality.profile(t.customer.drop("c_acctbal"), "customer")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT 'customer' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+            CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS n_distinct
+            FROM customer"""
+        for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    )
+)
+def table_profile_distinct(t: Tables) -> DataFrame:
+    return quality.profile(t.customer.drop("c_acctbal"), "customer", distinct="exact")
+
+
+@query("SELECT 'lineitem' AS table_name, true AS has_files, true AS has_bytes, count(*) AS n_rows FROM lineitem")
+def table_layout(t: Tables) -> DataFrame:
+    """Files and bytes depend on the writer, so only their presence is compared."""
+    found = quality.layout(t.spark, f"{t.sf_dir}/lineitem.parquet", "lineitem")
+    return found.select("table_name", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"), "n_rows")
+
+
+@query(
+    """SELECT * FROM (SELECT 'loaded' AS check_table, 'present' AS check_name, '*' AS column_name, 0::BIGINT AS failing_rows, true AS passed
+       UNION ALL SELECT 'absent', 'present', '*', 1::BIGINT, false UNION ALL
+       SELECT 'loaded', 'not_empty', '*', (SELECT (count(*) = 0)::BIGINT FROM supplier), (SELECT count(*) > 0 FROM supplier))"""
+)
+def dq_table_present(t: Tables) -> DataFrame:
+    """A loaded table and one that was never loaded."""
+    loaded, absent = (f"{name}_{uuid.uuid4().hex}" for name in ("loaded", "absent"))
+    path = t.scratch("present")
+    write_parquet(t.supplier, path)
+    table = load_table(t.spark, path, "s_suppkey BIGINT, s_name STRING", loaded, location=t.scratch("table"))
+    checks = [quality.present(t.spark, loaded), quality.present(t.spark, absent), quality.not_empty(table, loaded)]
+    rows = quality.union_parts(checks)
+    return rows.select(F.substring_index("table_name", "_", 1).alias("check_table"), *rows.columns[1:])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from starfold.plans.listens import SONGPLAYS, latest_users, plays
 from starfold.queries import roles
 from starfold.queries.joins import LEFT_FIRST_SQL, MICROS, MICROS_SQL, STAR_SQL
 from starfold.queries.registry import Tables, query
-from starfold.sinks.files import write_parquet
+from starfold.sinks.files import open_table, write_json, write_parquet
 from starfold.sources.files import read_json
 
 OTHERS = ["user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
@@ -67,8 +68,14 @@ def build_warehouse_time(t: Tables) -> DataFrame:
     return text_time(t.spark.read.parquet(f"{out}/time"))
 
 
-# The log's years, in two batches that together are the whole log.
-LOG_YEARS = ["{1995,1996,1997}", "{1998,1999,2000,2001}"]
+def log_batches(t: Tables) -> list[list[str]]:
+    """Every folder of the log there is, that of listens without a time first, in two batches by time."""
+    years = t.spark.read.schema("log_year STRING").json(f"{roles.listen_dir(t)}/log_data").select("log_year").distinct()
+    found = sorted((row[0] is not None, row[0] or "__HIVE_DEFAULT_PARTITION__") for row in years.collect())  # a row per folder
+    folders = [f"log_data/log_year={year}" for _, year in found]
+    middle = (len(folders) + 1) // 2
+    return [batch for batch in (folders[:middle], folders[middle:]) if batch]
+
 
 DISTINCT_PLAYS = """
     , once AS (SELECT DISTINCT start_time, user_id, level, session_id, location, user_agent, song, artist, length, item,
@@ -85,8 +92,8 @@ DISTINCT_PLAYS = """
 def build_keyed(t: Tables) -> DataFrame:
     """Two batches; the second one starts from the first one's tables."""
     out = t.scratch("keyed")
-    for batch, years in enumerate(LOG_YEARS):
-        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, [f"log_data/log_year={years}"])
+    for batch, folders in enumerate(log_batches(t)):
+        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, folders)
     return text_time(keyed.songplays(t.spark, out))
 
 
@@ -96,10 +103,11 @@ def build_keyed(t: Tables) -> DataFrame:
         FROM (SELECT *, (start_time, session_id, item, level) AS k FROM plays) GROUP BY user_id"""
 )
 def build_keyed_users(t: Tables) -> DataFrame:
-    """The second batch is loaded twice, as after a failed run; that changes nothing."""
+    """The older log comes last, and is loaded twice, as after a failed run."""
     out = t.scratch("keyed")
-    for batch in (0, 1, 1):
-        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, [f"log_data/log_year={LOG_YEARS[batch]}"])
+    batches = log_batches(t)[::-1]
+    for batch, folders in [*enumerate(batches), (len(batches) - 1, batches[-1])]:
+        keyed.run_keyed(t.spark, roles.listen_dir(t), out, batch, folders)
     return keyed.users(t.spark, out)
 
 
@@ -116,6 +124,34 @@ def build_daily(t: Tables) -> DataFrame:
     return text_time(fact)
 
 
+def dated_listen_dir(t: Tables) -> str:
+    """Songs, and the whole log as the files of two run dates."""
+
+    def write(path: str) -> None:
+        write_json(roles.songs(t).withColumn("shelf", F.col("artist_id")), f"{path}/song_data", ["shelf"])
+        even = F.month(F.timestamp_millis("ts")) % 2 == 0
+        day = F.when(even, F.lit(str(RUN_DATES[0]))).otherwise(F.lit(str(RUN_DATES[1])))
+        write_json(roles.listens(t).withColumn("run", day), f"{path}/log_data", ["run"])
+
+    return t.staged("dated-listens", write)
+
+
+RUN_DATES = (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+
+
+@query(
+    f"""{STAR_SQL} SELECT md5(CAST(session_id AS VARCHAR) || strftime(p.start_time, '%Y-%m-%d %H:%M:%S.%g')) AS songplay_id,
+        {TEXT_TIME}, user_id, level, s.song_id, s.artist_id, session_id, location, user_agent FROM plays p
+        JOIN staged s ON p.song = s.title AND p.length = s.duration AND p.artist = s.artist_name"""
+)
+def build_daily_dated(t: Tables) -> DataFrame:
+    """Two run dates, the first one loaded again after the second."""
+    out = t.scratch("daily-dated")
+    for run_date in (*RUN_DATES, RUN_DATES[0]):
+        daily.run_daily(t.spark, dated_listen_dir(t), out, run_date, "log_data/run={run_date:%Y-%m-%d}")
+    return text_time(t.spark.read.parquet(f"{out}/songplays").drop("load_date"))
+
+
 LAST_SQL = "WITH listens AS ({listens}) SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM listens WHERE artist IS NOT NULL) WHERE rn = 1"
 
 
@@ -173,6 +209,16 @@ def clean_dir(t: Tables) -> str:
     return t.staged("arrivals-clean", write)
 
 
+def loaded_arrivals(t: Tables) -> dict[str, DataFrame]:
+    """The tables that the cleaned files were loaded into, once per session."""
+
+    def load(path: str) -> None:
+        arrivals.load_arrivals(t.spark, clean_dir(t), f"arrivals_{uuid.uuid4().hex}_", location=path)
+
+    path = t.staged("arrivals-loaded", load)
+    return {name: open_table(t.spark, f"{path}/{name}", schema) for name, schema in arrivals.TABLE_SCHEMAS.items()}
+
+
 def dictionary_label(col: str, alias: str, bad: str, sentinel: str) -> str:
     return f"""coalesce(CASE WHEN {bad.format(v=f'{alias}.value')} THEN '{sentinel}' ELSE {alias}.value END,
                'NOT_IN_{col}_DICTIONARY') AS {col}"""
@@ -198,7 +244,7 @@ CLEAN_FACT_SQL = f"""
 
 @query(CLEAN_FACT_SQL)
 def build_arrivals(t: Tables) -> DataFrame:
-    fact = arrivals.load_arrivals(t.spark, clean_dir(t))["i94_immigration"]
+    fact = loaded_arrivals(t)["i94_immigration"]
     texts = {c: F.col(c).cast("string") for c in ("arrdate", "depdate", "dtadfile", "dtaddto")}
     return fact.withColumns(texts).select(
         "cicid", "i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr", "depdate", "i94bir",
@@ -223,17 +269,17 @@ NEAR = """(cos(radians(m.lat)) * cos(radians(m.lon)) - cos(radians(g.lat)) * cos
         FROM m JOIN near USING (lat, lon) LEFT JOIN ({D['i94addr']}) ON state = {roles.initcap_sql('value')}"""
 )
 def build_temperature(t: Tables) -> DataFrame:
-    return arrivals.load_arrivals(t.spark, clean_dir(t))["us_temperature"]
+    return loaded_arrivals(t)["us_temperature"]
 
 
 @query(roles.AIRPORTS_SQL)
 def build_airports(t: Tables) -> DataFrame:
-    return arrivals.load_arrivals(t.spark, clean_dir(t))["airport"]
+    return loaded_arrivals(t)["airport"]
 
 
 @query(roles.DEMOGRAPHICS_SQL)
 def build_demographics(t: Tables) -> DataFrame:
-    return arrivals.load_arrivals(t.spark, clean_dir(t))["us_demographics"]
+    return loaded_arrivals(t)["us_demographics"]
 
 
 @query(
@@ -243,7 +289,7 @@ def build_demographics(t: Tables) -> DataFrame:
         JOIN ({roles.AIRPORTS_SQL}) ON i94port = municipality_region WHERE type = 'large_airport' GROUP BY 1, 2"""
 )
 def busiest_ports(t: Tables) -> DataFrame:
-    return arrivals.busiest_ports(arrivals.load_arrivals(t.spark, clean_dir(t)))
+    return arrivals.busiest_ports(loaded_arrivals(t))
 
 
 TEMPERATURE_KEYS_SQL = f"""
@@ -269,4 +315,4 @@ TEMPERATURE_KEYS_SQL = f"""
             (SELECT count(*) FROM ({roles.AIRPORTS_SQL}) WHERE iso_country <> 'US'))"""
 )
 def arrivals_checks(t: Tables) -> DataFrame:
-    return arrivals.check_arrivals(arrivals.load_arrivals(t.spark, clean_dir(t)))
+    return arrivals.check_arrivals(loaded_arrivals(t))

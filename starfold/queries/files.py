@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,9 +103,11 @@ LINE_ROWS = f"""l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_ex
 
 @query(f"SELECT {LINE_ROWS} FROM lineitem")
 def multi_file_scan(t: Tables) -> DataFrame:
-    """Twelve monthly folders as one scan."""
+    """Every monthly folder there is, that of lines without a date too, as one scan."""
     path = monthly_lines(t)
-    return as_text(sources.read_parquet(t.spark, *[f"{path}/part_month={m}" for m in range(1, 13)]), "l_shipdate")
+    months = t.spark.read.parquet(path).select("part_month").distinct().collect()  # a row per folder
+    folders = [m[0] if m[0] is not None else "__HIVE_DEFAULT_PARTITION__" for m in months]
+    return as_text(sources.read_parquet(t.spark, *[f"{path}/part_month={m}" for m in folders]), "l_shipdate")
 
 
 def dated_orders(t: Tables) -> DataFrame:
@@ -143,10 +147,35 @@ def csv_quote_all(t: Tables) -> DataFrame:
 
 @query("SELECT s_name, s_suppkey, s_nationkey, s_acctbal FROM supplier")
 def table_load(t: Tables) -> DataFrame:
-    """Columns are stored in another order than the table declares them; they load by name."""
-    path = t.scratch("load")
+    """Files whose columns lie in another order are added to a table, which a second load replaces."""
+    path, table = t.scratch("load"), f"supplier_{uuid.uuid4().hex}"
     sinks.write_parquet(t.supplier.select("s_acctbal", "s_nationkey", "s_suppkey", "s_name"), path)
-    return sinks.load_table(t.spark, path, "s_name STRING, s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE")
+    schema, location = "s_name STRING, s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE", t.scratch("table")
+    sinks.load_table(t.spark, path, schema, table, location=location)
+    return sinks.load_table(t.spark, path, schema, table, mode="replace", location=location)
+
+
+@query(
+    """SELECT event_id AS "EVENT_ID", strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S.%g') AS "Ts", user_id AS "USER_ID",
+              event_type AS "Event_Type" FROM events"""
+)
+def stage_any_case(t: Tables) -> DataFrame:
+    """Staged by names that differ from the keys in their case; a malformed line would fail the load."""
+    schema = "EVENT_ID BIGINT, Ts BIGINT, USER_ID BIGINT, Event_Type STRING"
+    df = sources.stage(t.spark, event_json_dir(t), schema, millis_cols=["Ts"], recursive=True, strict=True)
+    return df.withColumn("Ts", F.date_format("Ts", "yyyy-MM-dd HH:mm:ss.SSS"))
+
+
+@query("SELECT n_nationkey, n_name || chr(10) || r_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey")
+def csv_line_breaks(t: Tables) -> DataFrame:
+    """Texts with line breaks, written as CSV and consolidated again."""
+    path = t.scratch("line-breaks")
+    label = F.concat("n_name", F.lit("\n"), "r_name").alias("label")
+    named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", label)
+    sinks.write_csv(named, path)
+    return sources.consolidate_csv(
+        t.spark, path, "n_nationkey INT, label STRING", ["n_nationkey", "label"], require="label", multi_line=True
+    )
 
 
 @query("SELECT n_nationkey, n_name, c_custkey FROM nation JOIN customer ON n_nationkey = c_nationkey UNION ALL SELECT n_nationkey, n_name, c_custkey FROM nation JOIN customer ON n_nationkey = c_nationkey")
@@ -183,21 +212,19 @@ def clustered_layout(t: Tables) -> DataFrame:
     )
 
 
-# ---- keyed writes: events before 2024-01-16 are the table, later ones the batch ------------------
-
-CUT = "2024-01-16"
+# ---- keyed writes: even events are the table, odd ones the batch, so many of the batch are older ----
 
 
 def base_and_delta(t: Tables) -> tuple[DataFrame, DataFrame]:
-    cut = F.lit(CUT).cast("timestamp_ntz")
-    return t.events.filter(F.col("ts") < cut), t.events.filter(F.col("ts") >= cut)
+    even = F.col("event_id") % 2 == 0
+    return t.events.filter(even), t.events.filter(~even | F.col("event_id").isNull())
 
 
 ORDER = ["ts", "event_id"]
 
 
 @query(
-    f"""SELECT user_id, arg_min(props, (ts, event_id)) AS props, arg_max(event_type, (ts, event_id)) AS event_type,
+    f"""SELECT user_id, arg_min(props, (event_id % 2, ts, event_id)) AS props, arg_max(event_type, (ts, event_id)) AS event_type,
                strftime(max(ts), {MICROS_SQL}) AS ts, arg_max(event_id, (ts, event_id)) AS event_id
         FROM events GROUP BY user_id"""
 )
@@ -223,7 +250,7 @@ def latest_per_key(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT {EVENT_ROWS} FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+    f"""SELECT {EVENT_ROWS} FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 2, ts, event_id) AS rn
         FROM events) WHERE rn = 1"""
 )
 def insert_if_absent(t: Tables) -> DataFrame:
@@ -249,8 +276,13 @@ def query_table_user_song(t: Tables) -> DataFrame:
         WHERE rn = 1"""
 )
 def incremental_ingest(t: Tables) -> DataFrame:
-    """New files are staged and merged by user; a second run finds nothing new."""
-    table, progress = t.scratch("ingest-table"), t.scratch("ingest-progress")
+    """Two sources feed one table in several batches; a second run of each finds nothing new."""
+    table, path = t.scratch("ingest-table"), event_json_dir(t)
+    kinds = sorted(row[0] for row in t.spark.read.schema("kind STRING").json(path).select("kind").distinct().collect())
+    progress = {kind: t.scratch("ingest-progress") for kind in kinds[:2]}
+    later = ",".join(kinds[1:])
+    sources_of = {kinds[0]: f"{path}/kind={kinds[0]}", **({kinds[1]: f"{path}/kind={{{later}}}"} if later else {})}
     for _ in range(2):
-        ingest.ingest_new_files(t.spark, event_json_dir(t), EVENT_JSON, table, progress, ["user_id"], ORDER)
-    return ingest.current_rows(t.spark, table, ["user_id"], ORDER)
+        for kind, source in sources_of.items():
+            ingest.ingest_new_files(t.spark, source, EVENT_JSON, table, progress[kind], ["user_id"], ORDER)
+    return ingest.current_rows(t.spark, table, ["user_id"], ORDER, EVENT_JSON)

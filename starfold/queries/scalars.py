@@ -10,6 +10,7 @@ from starfold.operators import analytics
 from starfold.operators.dims import project, time_dimension
 from starfold.operators.joins import spread_join
 from starfold.queries.registry import Tables, query
+from starfold.sinks.files import clustered, write_parquet
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MICROS_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -64,6 +65,18 @@ def point_lookup(t: Tables) -> DataFrame:
     )
 
 
+@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = 77 AND l_linenumber = 4")
+def point_lookup_literal(t: Tables) -> DataFrame:
+    """One composite key of a table clustered by it; the scan skips the files and row groups of other keys."""
+    path = t.scratch("clustered-lines")
+    keys = ["l_orderkey", "l_linenumber"]
+    write_parquet(clustered(t.lineitem, "l_orderkey", keys), path)
+    return analytics.point_lookup(
+        t.spark.read.parquet(path), {"l_orderkey": 77, "l_linenumber": 4},
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"],
+    )
+
+
 @query(
     """SELECT conv_id, turn, role, text FROM conversations
        WHERE conv_id IN (SELECT conv_id FROM conversations WHERE role = 'system') ORDER BY conv_id, turn"""

@@ -45,7 +45,7 @@ def write_parquet(
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: text files are parsed once, and later reads prune columns."""
     write_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -59,7 +59,10 @@ def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
 def write_csv(
     df: DataFrame, path: str, quote_all: bool = True, sep: str = ",", encoding: str = "UTF-8"
 ) -> None:
-    """Write CSV with a header line."""
+    """Write CSV with a header line.
+
+    Texts with line breaks are quoted like others; a reader must be told to expect them (``multi_line``).
+    """
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -71,8 +74,8 @@ def write_csv(
     )
 
 
-def load_table(spark: SparkSession, path: str, schema: str, name: str | None = None) -> DataFrame:
-    """Open a Parquet table against its declared schema.
+def open_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table against its declared schema.
 
     Columns go by name. A missing column or another type raises before any row is read.
     """
@@ -86,7 +89,21 @@ def load_table(spark: SparkSession, path: str, schema: str, name: str | None = N
     ]
     if wrong:
         raise ValueError(f"{path} does not match its schema: " + "; ".join(wrong))
-    df = df.select(*schemas.names(schema))
-    if name:
-        df.createOrReplaceTempView(name)
-    return df
+    return df.select(*schemas.names(schema))
+
+
+def load_table(
+    spark: SparkSession, path: str, schema: str, name: str, mode: str = "append", location: str | None = None
+) -> DataFrame:
+    """Load Parquet files into the table ``name`` and return the table.
+
+    The files are checked against the declared schema first; then their rows are added (``append``) or
+    take the place of the table's (``replace``). ``location`` keeps a new table's files outside the warehouse.
+    """
+    if mode not in ("append", "replace"):
+        raise ValueError(f"unknown mode {mode}")
+    writer = open_table(spark, path, schema).write.mode("overwrite" if mode == "replace" else "append")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
+    return spark.table(name)

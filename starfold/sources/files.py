@@ -5,22 +5,52 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LATIN_1 = "ISO-8859-1"
 
 
 def read_json(
-    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False, strict: bool = False
 ) -> DataFrame:
-    """JSON lines below ``path``: globs of fixed depth, or folders of any depth with ``recursive``."""
-    reader = spark.read.schema(schema)
+    """JSON lines below ``path``: globs of fixed depth, or folders of any depth with ``recursive``.
+
+    A malformed line is a row of nulls, or fails the read with ``strict``.
+    """
+    reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     return reader.json(path if isinstance(path, str) else list(path))
 
 
+def read_json_any_case(
+    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False, strict: bool = False
+) -> DataFrame:
+    """JSON lines of flat objects, whose keys match the schema's names whatever their case.
+
+    A value that is not of its declared type is null. Of keys that differ in case alone the first counts.
+    Blank lines are skipped; a malformed one is a row of nulls, or fails the read with ``strict``.
+    """
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    if recursive:
+        reader = reader.option("pathGlobFilter", "*.json")
+    lines = reader.text(path if isinstance(path, str) else list(path)).filter(F.trim("value") != "")
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("malformed JSON: "), F.col("value")))
+        entries = F.coalesce(entries, bad.cast("array<struct<key:string,value:string>>"))
+    parsed = lines.select(F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))).alias("e"))
+
+    def value(name: str) -> Column:
+        return F.get(F.filter("e", lambda e: e["k"] == name.lower()), F.lit(0))["v"]
+
+    fields = StructType.fromDDL(schema).fields
+    return parsed.select(*[value(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+
+
 def stage(
     spark: SparkSession,
     path: str,
@@ -28,15 +58,19 @@ def stage(
     mapping: Mapping[str, str] | None = None,
     millis_cols: Sequence[str] = (),
     recursive: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """Load a JSON staging table.
 
-    ``mapping`` names each target column's source key; without it columns go by name, ignoring case.
-    ``millis_cols`` (target names) hold epoch milliseconds and become timestamps.
+    ``mapping`` names each target column's source key, as it is spelled; without it columns go by name,
+    ignoring case. ``millis_cols`` (target names) hold epoch milliseconds and become timestamps. With
+    ``strict`` a malformed line fails the load.
     """
-    df = read_json(spark, path, schema, recursive)
     if mapping:
+        df = read_json(spark, path, schema, recursive, strict)
         df = df.select(*[F.col(source).alias(target) for target, source in mapping.items()])
+    else:
+        df = read_json_any_case(spark, path, schema, recursive, strict)
     return df.withColumns({c: F.timestamp_millis(F.col(c)) for c in millis_cols})
 
 
@@ -62,10 +96,13 @@ def read_csv(
 
 def consolidate_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: str, keep: Sequence[str], require: str,
-    encoding: str = "UTF-8",
+    encoding: str = "UTF-8", multi_line: bool = False,
 ) -> DataFrame:
-    """Many CSV files as one frame: drop rows whose ``require`` column is empty, keep some columns."""
-    df = read_csv(spark, paths, schema, encoding=encoding)
+    """Many CSV files as one frame: drop rows whose ``require`` column is empty, keep some columns.
+
+    ``multi_line`` reads quoted line breaks, at the price of one task per file.
+    """
+    df = read_csv(spark, paths, schema, encoding=encoding, multi_line=multi_line)
     return df.filter(F.col(require).isNotNull() & (F.col(require) != "")).select(*keep)
 
 
@@ -75,6 +112,16 @@ def read_parquet(spark: SparkSession, *paths: str, columns: Sequence[str] | None
     return df.select(*columns) if columns else df
 
 
+def read_if_present(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The Parquet table at ``path`` in its declared schema; an empty one if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def run_path(template: str, run_date: dt.date) -> str:
     """Fill a run date into a path template such as ``logs/{run_date:%Y/%m}/*.json``."""
     return template.format(run_date=run_date)

@@ -1,8 +1,9 @@
 """Incremental ingest: each run takes only files it has not seen and adds them to a keyed table.
 
-The table is a folder of batches. A batch holds one row per key and is overwritten if it is
-replayed, so a restarted run adds nothing twice. Readers merge the batches by key; ``compact`` folds
-them into one new table when there are many.
+The table is a folder of batches, kept apart by the stream that wrote them. A batch holds one row per key
+and is overwritten if its stream replays it, so a restarted run adds nothing twice. Several sources may
+feed one table, and a stream whose progress was lost starts as a new one. Readers merge the batches by
+key; ``compact`` folds them into one new table when there are many.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.operators.dims import latest_per_key
+from starfold.sources.files import read_if_present
 
 
 def ingest_new_files(
@@ -30,8 +32,10 @@ def ingest_new_files(
         reader = reader.option("maxBytesPerTrigger", max_batch_bytes)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # the stream's own id, which its progress folder keeps over restarts
+        stream = spark.read.schema("id STRING").json(f"{progress_dir}/metadata").first()["id"]
         merged = latest_per_key(transform(batch), keys, order)
-        merged.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+        merged.write.mode("overwrite").parquet(f"{table_dir}/stream_id={stream}/batch_id={batch_id}")
 
     query = (
         reader.format(file_format).load(in_dir)
@@ -43,14 +47,21 @@ def ingest_new_files(
     query.awaitTermination()
 
 
-def current_rows(spark: SparkSession, table_dir: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The latest row per key over all batches; a later batch wins over an earlier one on equal order."""
-    batches = spark.read.parquet(table_dir)
-    return latest_per_key(batches, keys, [*order, "batch_id"]).drop("batch_id")
+def current_rows(
+    spark: SparkSession, table_dir: str, keys: Sequence[str], order: Sequence[str], schema: str | None = None
+) -> DataFrame:
+    """The latest row per key over all batches; a later batch wins over an earlier one on equal order.
+
+    With ``schema`` a table that nothing has been written to yet is empty; without it reading one fails.
+    """
+    if schema:
+        batches = read_if_present(spark, table_dir, f"{schema}, stream_id STRING, batch_id BIGINT")
+    else:
+        batches = spark.read.parquet(table_dir)
+    return latest_per_key(batches, keys, [*order, "batch_id", "stream_id"]).drop("batch_id", "stream_id")
 
 
 def compact(spark: SparkSession, table_dir: str, out_dir: str, keys: Sequence[str], order: Sequence[str]) -> None:
     """Write the current rows as a new table with one batch, numbered below all later ones."""
-    current_rows(spark, table_dir, keys, order).withColumn("batch_id", F.lit(-1)).write.mode("overwrite").partitionBy(
-        "batch_id"
-    ).parquet(out_dir)
+    merged = current_rows(spark, table_dir, keys, order)
+    merged.write.mode("overwrite").parquet(f"{out_dir}/stream_id=compacted/batch_id=-1")

@@ -78,13 +78,47 @@ def test_csv_sink_quotes_everything(spark, tmp_path):
     assert part.read_text() == '"x","y"\n"1","a ""b"", c"\n'
 
 
-def test_load_table_checks_the_schema(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_load_table_writes_the_table_after_a_check(spark, tmp_path):
+    path, location = str(tmp_path / "t"), str(tmp_path / "loaded")
     spark.createDataFrame([("a", 1)], "y string, x int").write.parquet(path)
-    assert rows(sinks.load_table(spark, path, "x INT, y STRING", "loaded")) == [(1, "a")]
-    assert spark.table("loaded").columns == ["x", "y"]
+    schema, name = "x INT, y STRING", f"loaded_{abs(hash(path))}"
+    assert rows(sinks.load_table(spark, path, schema, name, location=location)) == [(1, "a")]
+    assert spark.table(name).columns == ["x", "y"] and spark.read.parquet(location).count() == 1
+    assert sinks.load_table(spark, path, schema, name).count() == 2
+    assert sinks.load_table(spark, path, schema, name, mode="replace").count() == 1
     with pytest.raises(ValueError, match="x: expected bigint, found int; z: expected int, found no such column"):
-        sinks.load_table(spark, path, "x BIGINT, y STRING, z INT")
+        sinks.load_table(spark, path, "x BIGINT, y STRING, z INT", name)
+    with pytest.raises(ValueError, match="mode"):
+        sinks.load_table(spark, path, schema, name, mode="other")
+    assert spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_staging_ignores_case_and_can_be_strict(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"firstName": "Ann", "USERID": 7, "ts": 1541105830796, "other": {"x": [1]}}\n\n{"userId": "x"}\n')
+    schema = "firstname STRING, userid INT, ts BIGINT"
+    got = sources.stage(spark, str(tmp_path), schema, recursive=True)
+    assert rows(got) == sorted([("Ann", 7, 1541105830796), (None, None, None)], key=str)
+    assert got.schema.simpleString() == "struct<firstname:string,userid:int,ts:bigint>"
+    (tmp_path / "b.json").write_text('{"firstName": \n')
+    assert sources.stage(spark, str(tmp_path), schema, recursive=True).count() == 3
+    with pytest.raises(Exception, match="malformed JSON"):
+        sources.stage(spark, str(tmp_path), schema, recursive=True, strict=True).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.stage(spark, str(tmp_path), "ts BIGINT", {"t": "ts"}, recursive=True, strict=True).collect()
+
+
+def test_quoted_line_breaks_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, 'c "d"\n\n,e'), (3, None)], "x int, y string")
+    sinks.write_csv(df, str(tmp_path / "c"))
+    back = sources.consolidate_csv(spark, str(tmp_path / "c"), "x INT, y STRING", ["x", "y"], "y", multi_line=True)
+    assert rows(back) == [(1, "a\nb"), (2, 'c "d"\n\n,e')]
+
+
+def test_read_if_present(spark, tmp_path):
+    assert sources.read_if_present(spark, str(tmp_path / "none"), "x INT").collect() == []
+    spark.range(2).selectExpr("cast(id as int) x").write.parquet(str(tmp_path / "some"))
+    assert sources.read_if_present(spark, str(tmp_path / "some"), "x INT").count() == 2
 
 
 def test_clustered_sorts_within_files(spark, tmp_path):
@@ -135,6 +169,19 @@ def test_ingest_takes_new_files_once(spark, tmp_path):
     (tmp_path / "src" / "2.json").write_text('{"k": "a", "v": 9, "ts": 0}\n{"k": "b", "v": 4, "ts": 5}\n{"k": "c", "v": 5, "ts": 1}')
     (tmp_path / "src" / "3.json").write_text('{"k": "b", "v": 0, "ts": 4}')
     assert run(max_batch_bytes=1) == [("a", 2, 2), ("b", 4, 5), ("c", 5, 1)]
-    assert len(list((tmp_path / "table").glob("batch_id=*"))) == 3
+    assert len(list((tmp_path / "table").glob("stream_id=*/batch_id=*"))) == 3
     ingest.compact(spark, table, str(tmp_path / "small"), keys, order)
     assert rows(ingest.current_rows(spark, str(tmp_path / "small"), keys, order)) == [("a", 2, 2), ("b", 4, 5), ("c", 5, 1)]
+
+
+def test_ingest_keeps_sources_apart(spark, tmp_path):
+    table, schema = str(tmp_path / "table"), "k STRING, v INT, ts INT"
+    assert ingest.current_rows(spark, table, ["k"], ["ts"], schema).collect() == []
+    for name, key in (("one", "a"), ("two", "b")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "1.json").write_text(f'{{"k": "{key}", "v": 1, "ts": 1}}')
+        ingest.ingest_new_files(spark, str(tmp_path / name), schema, table, str(tmp_path / f"progress-{name}"), ["k"], ["ts"])
+    assert rows(ingest.current_rows(spark, table, ["k"], ["ts"])) == [("a", 1, 1), ("b", 1, 1)]
+    # a lost progress folder: the files are read again, as another stream
+    ingest.ingest_new_files(spark, str(tmp_path / "one"), schema, table, str(tmp_path / "progress-new"), ["k"], ["ts"])
+    assert rows(ingest.current_rows(spark, table, ["k"], ["ts"])) == [("a", 1, 1), ("b", 1, 1)]

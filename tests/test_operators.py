@@ -15,25 +15,44 @@ def rows(df):
 # ---- joins -----------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, no_broadcast, how):
-    """A third of the rows share one key, another part has none."""
-    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50)
-    big = spark.range(0, 30000, numPartitions=12).select("id", key.alias("k"), F.lit("x" * 50).alias("pad"))
-    small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).union(
-        spark.range(7, 8).select(F.col("id").alias("k"), F.lit(100).cast("bigint").alias("v"))
-    )
-    joined = joins.spread_join(big, small, "k", how)
-    assert joins.SALT in joined._jdf.queryExecution().analyzed().toString()
-    assert rows(joined) == rows(big.join(small, "k", how))
-    assert joined.columns == big.join(small, "k", how).columns
+def plan_of(df):
+    """The plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_two_large_sides_are_not_repeated(spark, no_broadcast):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    joined = joins.spread_join(big, big.withColumn("v", F.lit(1)), "k")
-    assert joins.SALT not in joined._jdf.queryExecution().analyzed().toString()
-    assert joined.count() == 1000
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hot_and_null_keys_are_spread(spark, no_broadcast, tmp_path, how):
+    """Two thirds of the rows share one key; the partition that holds them is split over tasks."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    }
+    hot = None if how == "left" else 7
+    key = F.when(F.col("id") % 3 < 2, hot).otherwise(F.col("id") % 50)
+    spark.range(0, 60000, numPartitions=12).select("id", key.alias("k"), F.md5(F.col("id").cast("string")).alias("pad")).write.parquet(f"{tmp_path}/big")
+    big = spark.read.parquet(f"{tmp_path}/big")
+    small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = joins.spread_join(big, small, "k", how)
+        assert "isSkewJoin=true" in plan_of(joined) or "skew" in plan_of(joined)
+        assert joined.count() == big.join(small, "k", how).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_filters_reach_the_scan_below_a_join(spark, no_broadcast, tmp_path):
+    """Also beyond broadcasting, and no side is repeated."""
+    spark.range(1000).select("id", (F.col("id") % 10).alias("k"), (F.col("id") % 3).alias("flag")).write.parquet(f"{tmp_path}/big")
+    spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(f"{tmp_path}/small")
+    big, small = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("big", "small"))
+    joined = joins.spread_join(big, small, "k", "left").filter("flag = 2")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(flag,2)" in plan and "Generate" not in plan
 
 
 def test_small_side_is_broadcast_by_its_size(spark):
@@ -159,19 +178,49 @@ def brute_nearest(points, sites):
     return out
 
 
-def test_search_depth_grows_with_the_sites(spark):
-    depths = [lookup.search_depth(spark.range(n).select("id", F.lit(1.0), F.lit(2.0))) for n in (10, 5000, 10**6, 10**9, 10**14)]
-    assert depths == sorted(depths) and depths[0] == 2 and depths[-1] == 8 and len(set(depths)) == 5
-    assert lookup.search_depth(spark.createDataFrame([(1,)], "x int")) == 4
+def town(rnd, n):
+    """Sites within two kilometres."""
+    return [(i, 48.0 + rnd.uniform(0, 0.018), 2.0 + rnd.uniform(0, 0.027)) for i in range(n)]
+
+
+SITE = "site_id int, lat double, lon double"
+
+
+def test_search_depth_follows_the_counted_sites(spark):
+    rnd = random.Random(4)
+    wide = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(3000)]
+    depths = [
+        lookup.search_depth(lookup.located_sites(spark.createDataFrame(rows, SITE), ["site_id"]))
+        for rows in ([], wide[:10], wide, town(rnd, 3000))
+    ]
+    assert depths[0] == 1 and depths == sorted(depths) and depths[2] < depths[3] <= lookup.MAX_DEPTH
 
 
-@pytest.mark.parametrize("depth", [1, 3, 5, 8])
+def test_a_point_in_a_dense_town_meets_few_sites(spark):
+    rnd = random.Random(5)
+    located = lookup.located_sites(spark.createDataFrame(town(rnd, 4000), SITE), ["site_id"]).cache()
+    spots = lookup.located_sites(spark.createDataFrame(town(rnd, 200), SITE), ["site_id"]).drop("__site")
+    depth = lookup.search_depth(located)
+    leaves = located.select(lookup._cell(depth).alias("__cell"))
+    met = lookup.leaf_candidates(spots, located, depth).join(leaves, "__cell").count()
+    assert met <= 200 * 8 * lookup.LEAF_SITES
+    located.unpersist()
+
+
+def test_sites_without_a_place_are_never_found(spark):
+    ref = spark.createDataFrame([(1, float("nan"), 10.0), (2, 59.9, 10.5), (3, None, 1.0), (4, 65.0, 20.0)], SITE)
+    point = spark.createDataFrame([(59.8, 10.4)], "la double, lo double")
+    assert lookup.nearest_site(point, ref, "la", "lo", {"site_id": "near"}).first().near == 2
+    assert lookup.nearest_site(point, ref.limit(0), "la", "lo", {"site_id": "near"}).first().near is None
+
+
+@pytest.mark.parametrize("depth", [None, 1, 3, 8])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_nearest_site_equals_brute_force(spark, request, depth, broadcast):
     """Sites are scattered, with most of them in one dense town, and at the poles and the date line."""
     if not broadcast:
         request.getfixturevalue("no_broadcast")
-    rnd = random.Random(depth)
+    rnd = random.Random(depth or 0)
     sites = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(100)]
     sites += [(100 + i, 48.0 + rnd.uniform(0, 0.2), 2.0 + rnd.uniform(0, 0.2)) for i in range(200)]
     sites += [(900, 90.0, 0.0), (901, -90.0, 0.0), (902, 0.0, 180.0), (903, 0.0, -179.9), (904, 0.0, 180.0)]
@@ -228,6 +277,24 @@ def test_insert_if_absent_is_idempotent(levels):
     assert rows(keyed.insert_if_absent(base, second.limit(0), ["user"], ["ts"])) == rows(base)
 
 
+def test_late_rows_do_not_undo_newer_ones(spark):
+    ddl = "user string, name string, level string, ts int"
+    base = spark.createDataFrame([("u", "Ann", "paid", 10)], ddl)
+    late = spark.createDataFrame([("u", "Old", "free", 5)], ddl)
+    assert rows(upsert(base, late)) == [("u", "Ann", "paid", 10)]
+    assert rows(keyed.upsert_full(base, late, ["user"], ["ts"])) == [("u", "Ann", "paid", 10)]
+    even = spark.createDataFrame([("u", "Eve", "free", 10)], ddl)
+    assert rows(upsert(base, even)) == [("u", "Ann", "free", 10)]
+    assert rows(keyed.upsert_full(base, even, ["user"], ["ts"])) == [("u", "Eve", "free", 10)]
+
+
+def test_null_keys_are_inserted_once(spark):
+    base = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    delta = spark.createDataFrame([(None, 3), ("b", 4)], "k string, v int")
+    once = keyed.insert_if_absent(base, delta, ["k"], ["v"])
+    assert rows(once) == rows(keyed.insert_if_absent(once, delta, ["k"], ["v"])) == sorted([(None, 1), ("a", 2), ("b", 4)], key=str)
+
+
 # ---- analytics -------------------------------------------------------------------------------------
 
 

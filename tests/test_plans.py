@@ -2,8 +2,10 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.operators.quality import QualityError
@@ -116,6 +118,80 @@ def test_daily_load_replaces_its_date(spark, music):
     assert spark.read.parquet(f"{out}/songplays").count() == 7
 
 
+def unmatched(path):
+    """Give a log's plays a song that does not exist."""
+    lines = [json.loads(line) for line in path.read_text().splitlines() if line.strip()]
+    path.write_text("\n".join(json.dumps({**line, "song": "unheard"}) for line in lines))
+
+
+def test_daily_rerun_can_shrink_to_nothing(spark, music):
+    in_dir, out = music
+    log = Path(in_dir) / "log_data" / "2018" / "11" / "2018-11-01-events.json"
+    assert daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 1)).count() == 3
+    unmatched(log)
+    assert daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 1)).count() == 0
+    daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 2))
+    assert spark.read.parquet(f"{out}/songplays").count() == 2
+
+
+def test_daily_first_day_without_a_match(spark, music):
+    in_dir, out = music
+    unmatched(Path(in_dir) / "log_data" / "2018" / "11" / "2018-11-01-events.json")
+    assert daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 1)).count() == 0
+
+
+def test_whole_and_dated_loads_do_not_mix(spark, music):
+    in_dir, out = music
+    daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 1))
+    with pytest.raises(ValueError, match="another kind"):
+        daily.run_daily(spark, in_dir, out, mode="append")
+    whole = daily.run_daily(spark, in_dir, out)
+    assert whole.count() == spark.read.parquet(f"{out}/songplays").count() == 5
+    with pytest.raises(ValueError, match="another kind"):
+        daily.run_daily(spark, in_dir, out, dt.date(2018, 11, 1))
+
+
+def test_lake_and_warehouse_without_a_match(spark, music):
+    in_dir, out = music
+    for log in (Path(in_dir) / "log_data").rglob("*.json"):
+        unmatched(log)
+    assert lake.run_lake(spark, in_dir, f"{out}/lake").count() == 0
+    assert warehouse.run_warehouse(spark, in_dir, f"{out}/warehouse").count() == 0
+
+
+def test_keyed_batches_keep_their_order(spark, music):
+    in_dir, out = music
+    logs = [["log_data/2018/11/2018-11-02-events.json"], ["log_data/2018/11/2018-11-01-events.json"]]
+    for batch, paths in enumerate(logs):
+        keyed.run_keyed(spark, in_dir, out, batch, paths)
+    # the older log came later and does not undo the level
+    assert rows(keyed.users(spark, out))[0][-1] == "paid"
+    with pytest.raises(ValueError, match="batch 1 builds on it"):
+        keyed.run_keyed(spark, in_dir, out, 0, logs[0])
+    ids = [r.songplay_id for r in keyed.songplays(spark, out).collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_every_folder_of_the_log_is_a_batch(spark, tmp_path):
+    """Listens of 1994 and 2002, and one without a time, are in the folders that the builds read."""
+    from starfold.queries import builds
+
+    log = [(None, "Home"), (757382400000, "NextSong"), (1009843200000, "NextSong")]
+    df = spark.createDataFrame(log, "ts long, page string").withColumn("log_year", F.year(F.timestamp_millis("ts")))
+    df.write.partitionBy("log_year").json(f"{tmp_path}/log_data")
+
+    class Listens:
+        def __init__(self):
+            self.spark = spark
+
+        def staged(self, label, write):
+            return str(tmp_path)
+
+    batches = builds.log_batches(Listens())
+    assert [len(b) for b in batches] == [2, 1] and "HIVE_DEFAULT" in batches[0][0]
+    assert spark.read.json([f"{tmp_path}/{folder}" for b in batches for folder in b]).count() == 3
+
+
 def test_daily_gate(spark, music, tmp_path):
     path = tmp_path / "in" / "log_data" / "2018" / "11" / "2018-11-03-events.json"
     path.write_text(json.dumps({**listen(DAY, "1", "free", "U", "Bob", 50.25), "userId": None}))
