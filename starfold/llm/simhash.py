@@ -29,6 +29,8 @@ SEED = 42
 # Fingerprints in a tile on average; a pair of tiles is compared in one task.
 TILE_ROWS = 65_536
 BLOCK_ROWS = 512
+# Partitions that the pairs of tiles are dealt to at most.
+MOST_PARTITIONS = 50_000
 # Shingles whose bits are counted at once.
 COUNTED_SHINGLES = 65_536
 BITS = 64
@@ -174,7 +176,10 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
                 u, v = tile_links(a.values.to_numpy(), b.values.to_numpy() if b.is_valid else None, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return pairs.repartition(F.xxhash64(F.col("fps")[0], F.col("other_fps")[0])).mapInArrow(work, "u long, v long")
+    # a partition for each pair or so: a pair takes long for its few bytes, which would have them put together
+    parts = max(1, min(pairs.count(), MOST_PARTITIONS))
+    dealt = pairs.repartition(parts, F.xxhash64(F.col("fps")[0], F.col("other_fps")[0]))
+    return dealt.mapInArrow(work, "u long, v long")
 
 
 def near_duplicates(
