@@ -65,14 +65,14 @@ def point_lookup(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = 77 AND l_linenumber = 4")
+@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = 1 AND l_linenumber = 3")
 def point_lookup_literal(t: Tables) -> DataFrame:
     """One composite key of a table clustered by it; the scan skips the files and row groups of other keys."""
     path = t.scratch("clustered-lines")
     keys = ["l_orderkey", "l_linenumber"]
     write_parquet(clustered(t.lineitem, "l_orderkey", keys), path)
     return analytics.point_lookup(
-        t.spark.read.parquet(path), {"l_orderkey": 77, "l_linenumber": 4},
+        t.spark.read.parquet(path), {"l_orderkey": 1, "l_linenumber": 3},
         ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"],
     )
 
