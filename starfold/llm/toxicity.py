@@ -38,6 +38,8 @@ LIMIT = 12.0
 # Elements of a padded batch of documents.
 BATCH = 1_000_000
 REMEMBERED = 500_000
+# Characters whose words are held at once, unless one text has more.
+PORTION = 8_000_000
 PREDICT_FROM = 0.3
 SPAN_FROM = 0.5
 
@@ -292,6 +294,19 @@ class _Scorer:
         return ",".join(f"{places[a][0]}:{places[b][1]}" for a, b in runs)
 
 
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``PORTION`` characters."""
+    portion, size = [], 0
+    for text in texts:
+        if portion and size + len(text) > PORTION:
+            yield portion
+            portion, size = [], 0
+        portion.append(text)
+        size += len(text)
+    if portion:
+        yield portion
+
+
 def score_documents(docs: DataFrame, field: Field, predict_from: float = PREDICT_FROM) -> DataFrame:
     """``doc_id``, score, predicted and spans (``start:end`` of offending words) for every row of ``docs``.
 
@@ -302,7 +317,7 @@ def score_documents(docs: DataFrame, field: Field, predict_from: float = PREDICT
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(field)
         for batch in batches:
-            rows = list(scorer(batch.column("text").to_pylist()))
+            rows = [row for portion in _portions(batch.column("text").to_pylist()) for row in scorer(portion)]
             scores = np.array([score for score, _ in rows], float)
             columns = [batch.column("doc_id"), pa.array(scores), pa.array((scores >= predict_from).astype(np.int32))]
             columns.append(pa.array([spans for _, spans in rows], pa.string()))
