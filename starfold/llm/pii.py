@@ -10,6 +10,7 @@ classifier decides on those that only the loose patterns propose.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -57,6 +58,9 @@ OTHERS = r"(?i)\b(?:version|v|isbn|issn|order|price|section|chapter|figure|table
 CONTEXT_CHARS = 24
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$"
 
+# Matches of a text whose places are counted together; appending to arrays of this size stays cheap.
+PART = 256
+
 VOTES = ("strict", "gazetteer", "context", "shape")
 ROUNDS = 30
 SPAN = "start:bigint,kind:int,end:bigint,strict:int,gazetteer:int,context:int,shape:int,long:int"
@@ -77,7 +81,8 @@ def is_valid(kind: Kind, match: Column) -> Column:
 def spans_of(text: Column, number: int) -> Column:
     """The valid matches of one kind in a text, with positions in code points and the labelers' votes.
 
-    What stands between the matches gives their positions; a text without a match is not split.
+    What stands between the matches gives their positions; a text without a match is not split. Matches are
+    counted in parts, so that a text with very many costs little more than its length.
     """
     kind = KINDS[number]
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
@@ -97,7 +102,8 @@ def spans_of(text: Column, number: int) -> Column:
         return F.struct(*ends, *(v.alias(n) for n, v in zip(VOTES, votes, strict=True)), size.alias("long"))
 
     pieces = F.split(text, kind.pattern, -1)
-    joined = F.transform(matches, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("a"), F.get(pieces, i + 1).alias("b")))
+    joined = F.zip_with(matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, a: F.struct(m.alias("m"), a.alias("a")))
+    joined = F.zip_with(joined, F.slice(pieces, F.lit(2), F.size(matches)), lambda x, b: x.withField("b", b))
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["a"])
@@ -106,7 +112,33 @@ def spans_of(text: Column, number: int) -> Column:
         return F.struct((start + F.length(x["m"])).cast("bigint").alias("at"), found.alias("found"))
 
     begin = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
-    return F.when(F.size(matches) > 0, F.aggregate(joined, begin, step, lambda s: s["found"])).otherwise(none)
+    parts = F.transform(_parts(joined), lambda part: F.aggregate(part, begin, step))
+    return F.when(F.size(matches) > 0, _computed_once(parts, _placed)).otherwise(none)
+
+
+def _computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``; the functions inside ``use`` do not compute ``value`` anew for each of their elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(items: Column) -> Column:
+    """An array cut into arrays of ``PART`` elements; of an empty one, an empty array."""
+
+    def cut(whole: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / PART).cast("int")), lambda n: F.slice(whole, n * PART + 1, F.lit(PART)))
+
+    return _computed_once(items, lambda whole: F.when(F.size(whole) > 0, cut(whole)).otherwise(F.array(whole)))
+
+
+def _placed(parts: Column) -> Column:
+    """The spans of all parts (``at``: length of the part's text, ``found``), counted from the text's beginning."""
+    zero = F.array(F.lit(0).cast("bigint"))
+    begins = F.aggregate(parts, zero, lambda found, p: F.concat(found, F.array(F.element_at(found, -1) + p["at"])))
+
+    def move(part: Column, by: Column) -> Column:
+        return F.transform(part["found"], lambda s: s.withField("start", s["start"] + by).withField("end", s["end"] + by))
+
+    return F.flatten(F.zip_with(parts, F.slice(begins, F.lit(1), F.size(parts)), move))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -116,8 +148,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     base = F.concat(*(F.col(k.name) for k in KINDS if k.strict))
     loose = F.concat(*(F.col(k.name) for k in KINDS if not k.strict))
     found = found.select("doc_id", base.alias("base"), loose.alias("loose"))
-    apart = F.filter("loose", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return found.select("doc_id", F.array_sort("base").alias("base"), apart.alias("loose"))
+    found = found.withColumn("base", F.array_sort("base"))
+
+    def touches(x: Column, b: Column) -> Column:
+        return (b["start"] < x["end"]) & (x["start"] < b["end"])
+
+    # a part of the sorted spans is looked into only if it reaches to the loose span
+    reach = F.transform(
+        _parts(F.col("base")),
+        lambda part: F.struct(F.array_min(part["start"]).alias("start"), F.array_max(part["end"]).alias("end"), part.alias("spans")),
+    )
+    apart = _computed_once(
+        reach,
+        lambda parts: F.filter("loose", lambda x: ~F.exists(parts, lambda p: touches(x, p) & F.exists(p["spans"], lambda b: touches(x, b)))),
+    )
+    return found.select("doc_id", "base", F.when(F.size("loose") > 0, apart).otherwise(F.col("loose")).alias("loose"))
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int, float]], rounds: int = ROUNDS) -> list[float]:

@@ -7,7 +7,7 @@ import pytest
 
 from starfold.llm.chat import Template, escaped, format_conversations, read_back, read_turns, unescaped
 from starfold.llm.decontaminate import contaminated, drop_contaminated
-from starfold.llm.pii import estimate, personal_data
+from starfold.llm.pii import candidates, estimate, personal_data
 from starfold.llm.secrets import secrets
 from starfold.llm.url_filter import judge_urls, labelled_urls, train
 
@@ -77,6 +77,18 @@ def test_pii_classifier_adds_spans(docs):
     assert personal_data(docs((1, "none"), (1, "none"))).count() == 2
 
 
+def test_pii_of_a_long_list_of_contacts(docs):
+    """Thousands of matches in one text: more than are counted together, and too many for quadratic work."""
+    lines = [f"ü user{n}@example.org or +49 30 {n:07d} at 10.0.{n % 300}.1, (212) 555-{n % 10_000:04d}" for n in range(2000)]
+    text = "\n".join(lines)
+    row = personal_data(docs((1, text))).first()
+    base, kinds = joined(text, PII, pii_holds)
+    assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert [row.n_email, row.n_phone] == [2000, 2000] and row.n_ip == kinds.count("ip") < 2000
+    local = {(s.start, s.end) for s in candidates(docs((1, text))).first().loose}
+    assert local == {m.span() for m in re.finditer(r"\(212\) 555-[0-9]{4}", text)}
+
+
 def test_estimation_trusts_labelers_that_agree():
     belief = estimate([((1, 1, 1), 0, 80.0), ((-1, -1, -1), 0, 80.0), ((1, 1, -1), 0, 10.0), ((-1, -1, 1), 0, 10.0)])
     assert belief[0] > 0.9 and belief[1] < 0.1 and belief[2] > 0.5 > belief[3]
