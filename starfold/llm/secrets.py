@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -81,6 +83,13 @@ def random_spans(text: str, encoder, efficiency: float = EFFICIENCY) -> list[tup
     return found
 
 
+def apart(spans: list[tuple[int, int]], base: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
+    """The ``spans`` (start, end) that overlap none of ``base``, which is ordered by start."""
+    starts = [start for start, _, _ in base]
+    reached = [0, *accumulate((end for _, _, end in base), max)]  # the farthest end of the first n
+    return [(start, end) for start, end in spans if reached[bisect_left(starts, end)] <= start]
+
+
 def _joined(spans: list[tuple[int, str, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
 
@@ -102,11 +111,7 @@ def secrets(docs: DataFrame, ranks: str | None = None, efficiency: float = EFFIC
                 text = str(value)
                 base = base_spans(text)
                 kinds = [kind for _, kind, _ in base]
-                added = [
-                    (start, "random", end)
-                    for start, end in random_spans(text, encoder, efficiency)
-                    if not any(a < end and start < b for a, _, b in base)
-                ]
+                added = [(start, "random", end) for start, end in apart(random_spans(text, encoder, efficiency), base)]
                 order = (*KINDS, "random")
                 spans = sorted([*base, *added], key=lambda s: (s[0], order.index(s[1])))
                 counts.append([*(kinds.count(kind) for kind in KINDS), len(added)])

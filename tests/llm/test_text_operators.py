@@ -4,11 +4,13 @@ import hashlib
 import re
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from starfold.llm.chat import Template, escaped, format_conversations, read_back, read_turns, unescaped
 from starfold.llm.decontaminate import contaminated, drop_contaminated
 from starfold.llm.pii import candidates, estimate, personal_data
-from starfold.llm.secrets import secrets
+from starfold.llm.secrets import apart, secrets
 from starfold.llm.url_filter import judge_urls, labelled_urls, train
 
 from .conftest import by_id, words
@@ -135,6 +137,12 @@ def test_secret_token_efficiency(docs):
     assert got[0].spans == f"random:0:{len(random)}"
 
 
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 12))), st.lists(st.tuples(st.integers(0, 40), st.integers(1, 12))))
+def test_spans_apart_from_the_base(one, other):
+    spans, base = [(a, a + n) for a, n in one], sorted((a, "hex", a + n) for a, n in other)
+    assert apart(spans, base) == [(a, b) for a, b in spans if not any(c < b and a < d for c, _, d in base)]
+
+
 @pytest.fixture(scope="module")
 def url_model(spark):
     return train(labelled_urls(spark))
