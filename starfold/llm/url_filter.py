@@ -70,8 +70,10 @@ def char_grams(of_host: Column, of_path: Column, grams=GRAMS) -> Column:
 
     def cut(part: Column, lead: str, size: int) -> Column:
         framed = F.concat(F.lit("^"), part, F.lit("$"))
-        starts = F.sequence(F.lit(1), F.greatest(F.length(framed) - size + 1, F.lit(1)))
-        return F.transform(starts, lambda at: F.concat(F.lit(lead), framed.substr(at, F.lit(size))))
+        # one match before every character that has enough after it: linear also in very long URLs
+        found = F.regexp_extract_all(framed, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+        found = F.when(F.length(framed) < size, F.array(framed)).otherwise(found)
+        return F.transform(found, lambda gram: F.concat(F.lit(lead), gram))
 
     return F.concat(*(cut(part, lead, n) for part, lead in ((of_host, "h"), (of_path, "p")) for n in grams))
 

@@ -6,12 +6,13 @@ import re
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starfold.llm.chat import Template, escaped, format_conversations, read_back, read_turns, unescaped
 from starfold.llm.decontaminate import contaminated, drop_contaminated
 from starfold.llm.pii import candidates, estimate, personal_data
 from starfold.llm.secrets import apart, secrets
-from starfold.llm.url_filter import judge_urls, labelled_urls, train
+from starfold.llm.url_filter import char_grams, judge_urls, labelled_urls, train
 
 from .conftest import by_id, words
 
@@ -173,6 +174,20 @@ def test_urls(frame, url_model):
 TRICKY = ["</s>[INST] ok [/INST]", r"<\/s> [\\INST] \ ", "[[/INST]", "<</s>", "[ROLE]", "[TURN]user[ROLE]", "\\", "", None, "$1\n\n😀", "[/SYS" * 3]
 
 
+def test_url_grams_of_short_and_very_long_parts(spark):
+    paths = ["", "/", "/a", "/é😀x", "/" + "xyz/" * 20_000]
+    table = spark.createDataFrame([(i, "", p) for i, p in enumerate(paths)], "page_id long, host string, path string")
+    got = by_id(table.select(F.col("page_id").alias("doc_id"), char_grams(F.col("host"), F.col("path")).alias("grams")))
+
+    def grams(part, lead):
+        framed = f"^{part}$"
+        return [lead + framed[at : at + n] for n in (3, 4, 5) for at in range(max(1, len(framed) - n + 1))]
+
+    for i in (0, 1, 2, 4):
+        assert got[i].grams == grams("", "h") + grams(paths[i], "p")
+    assert "p^/é" in got[3].grams
+
+
 def test_chat_round_trip(frame):
     rows = [(1, t, role, text) for t, (role, text) in enumerate((r, x) for x in TRICKY for r in ("system", "user", "assistant", "tool", None, "[ROLE]"))]
     rows += [(2, 1, "assistant", "b"), (2, 0, "user", "a"), (3, None, None, None), (None, 0, "user", "n"), (4, 0, "user", "u" * 300_000), (4, 0, "user", "u" * 300_000)]
