@@ -177,6 +177,21 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     return pairs.repartition(F.xxhash64(F.col("fps")[0], F.col("other_fps")[0])).mapInArrow(work, "u long, v long")
 
 
+def _rooted(docs: DataFrame, words: int, radius: int, tile_rows: int) -> DataFrame:
+    """(doc_id, mark, fp, root, component_id) of every row; root, a fingerprint, is the component's identity."""
+    whole = docs.select("doc_id", whole_text().alias("text"))
+    marked = whole.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    found = stored(fingerprints(marked, words), "fingerprints")
+    classes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    linked = stored(roots(links(classes, radius, tile_rows)), "roots")
+
+    rooted = classes.join(linked, classes.fp == linked.node, "left")
+    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(rooted.join(component, "root").select("fp", "root", "component_id"), "components")
+    return found.join(named, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
@@ -187,25 +202,17 @@ def near_duplicates(
     fingerprint zero and are linked like any other. ``mark`` hashes the text and tells rows of one id apart.
     An empty table gives an empty result; other columns are not read.
     """
-    whole = docs.select("doc_id", whole_text().alias("text"))
-    marked = whole.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    found = stored(fingerprints(marked, words), "fingerprints")
-    classes = stored(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    linked = stored(roots(links(classes, radius, tile_rows)), "roots")
-
-    rooted = classes.join(linked, classes.fp == linked.node, "left")
-    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(component, "root").select("fp", "component_id"), "components")
-    return found.join(named, "fp").select(
+    return _rooted(docs, words, radius, tile_rows).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark"
     )
 
 
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each component: that of the smallest id."""
-    found = near_duplicates(docs, words, radius)
-    first = found.groupBy("component_id").agg(
+    """The rows of ``docs``, all columns, with one document of each component: that of the smallest id.
+
+    Components are told apart by their root, since several may have no id or the same smallest one.
+    """
+    first = _rooted(docs, words, radius, TILE_ROWS).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first")
     )
     chosen = first.select(id_text("first.doc_id").alias("id_key"), F.col("first.mark").alias("mark_key"))

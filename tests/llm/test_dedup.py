@@ -106,6 +106,18 @@ def test_repeated_ids_leave_one_document(docs):
     assert len(kept) in (1, 2) and len(set(kept)) == len(kept)
 
 
+def test_unlinked_texts_of_one_id_or_none_all_stay(docs):
+    texts = ["a b c d e", "quite other words here now", *(" ".join(words(k, 40)) for k in range(3))]
+    values = [brute_fingerprint(text) for text in texts]
+    assert all((a ^ b).bit_count() > RADIUS for k, a in enumerate(values) for b in values[:k])
+    for doc_id in (1, None):
+        table = docs(*((doc_id, text) for text in texts), (doc_id, texts[0]), (doc_id, texts[1].upper()))
+        kept = [r.text for r in drop_near_copies(table).collect()]
+        assert len(kept) == len(texts) and {text.lower() for text in kept} == set(texts)
+    table = docs((1, texts[0]), (1, texts[0]), (1, texts[1]), (None, texts[0]))
+    assert sorted((r.doc_id, r.text) for r in drop_near_copies(table).collect()) == [(1, texts[0]), (1, texts[1])]
+
+
 def test_tiles_lose_no_link(spark):
     rng = np.random.default_rng(3)
     seeds = rng.integers(0, 2**64, 40, dtype=np.uint64)
