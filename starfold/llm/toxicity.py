@@ -44,6 +44,11 @@ PREDICT_FROM = 0.3
 SPAN_FROM = 0.5
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, each lowered by itself: lowering a whole text can change their number."""
+    return [word.lower() for word in WORD.findall(text)]
+
+
 def word_features(word: str) -> list[str]:
     """What the field sees of a word: the word, and how it begins."""
     return [f"w {word}", *(f"p {word[:n]}" for n in PREFIXES if len(word) > n)]
@@ -141,7 +146,7 @@ class Vocabulary:
 
     def numbers(self, text: str) -> np.ndarray:
         index = self.index
-        return np.array([index.setdefault(word, len(index)) for word in WORD.findall(text.lower())], np.int32)
+        return np.array([index.setdefault(word, len(index)) for word in words_of(text)], np.int32)
 
     def close(self) -> None:
         """Lay out the features of all words met so far."""
@@ -266,7 +271,7 @@ class _Scorer:
         self.field, self.known = field, {}
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[float, str]]:
-        found = [WORD.findall(text.lower()) for text in texts]
+        found = [words_of(text) for text in texts]
         known, emission = self.known, self.field.emission
         if len(known) > REMEMBERED:
             known.clear()
@@ -283,8 +288,6 @@ class _Scorer:
         if not len(hits):
             return ""
         places = [m.span() for m in WORD.finditer(text)]
-        if len(places) != len(probabilities):  # lower case changed the number of words
-            return ""
         runs: list[list[int]] = []
         for hit in hits.tolist():
             if runs and runs[-1][1] == hit - 1:
