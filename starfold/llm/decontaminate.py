@@ -3,7 +3,8 @@
 Numbers, units and names are replaced by typed placeholders, so a question keeps its template when only
 its values change. Windows of the benchmark's templates are hash-joined with the documents' windows.
 Matches that lie on one line (document place minus item place) are held against each other: the values
-in the slots must correspond one to one, or the document only shares phrases with the item.
+in the slots must correspond one to one, or the document only shares phrases with the item. A window of few
+literal words says little as a template; it counts where its slots hold the item's own values.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from starfold.llm.common import id_text, stored, whole_text, without
 
 WINDOW = 8
-# Words of a window that are not placeholders.
+# Words that are not placeholders, from which on a window counts with other values too.
 LITERALS = 5
 # Part of an item's windows that a document must share.
 COVERAGE = 0.5
@@ -98,44 +99,73 @@ def _slots(place: Column, width: Column) -> Column:
     return F.transform(filled, lambda p: F.replace(p["word"], F.lit(NAME), F.lit("")))
 
 
+def _few(width: Column, slots: Column, literals: int) -> Column:
+    """Whether a window has fewer literal words than ``literals``; all places of one hash agree in it."""
+    return width - F.size(slots) < literals
+
+
+def _value(width: Column, slots: Column, literals: int) -> Column:
+    """What a window's slots must agree in to meet: the values if it has few literal words, else nothing."""
+    return F.when(_few(width, slots, literals), F.xxhash64(slots)).otherwise(F.lit(0).cast("long"))
+
+
 def item_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """Windows of the benchmark's items: item_id, item_place, hash, width, item_slots, item_windows.
+    """Windows of the benchmark's items: item_id, item, item_place, hash, width, value, item_slots, and how they count.
 
-    An item with fewer words than a window is one window of its own width. Windows with fewer literal
-    words than ``literals`` say nothing and are left out, so an item without any is never found.
+    An item with fewer words than a window is one window of its own width. An item is read twice: alone, and
+    as behind a colon, where its first word may be typed as a name. Windows of the second reading alone
+    count as the first window of the item (``counted``, ``few``); with ``led``, their first slot is the
+    item's own word. ``item_windows`` and ``full_windows`` are the numbers of all and of those not ``few``.
     """
     items = benchmark.select("item_id", whole_text().alias("text")).distinct()
-    items = _templates(items).where(F.size("typed") > 0)
+    items = items.withColumn("item", F.xxhash64("item_id", "text"))
+    behind = items.withColumns({"reading": F.lit(1), "text": F.concat(F.lit(": "), "text")})
+    items = _templates(items.withColumn("reading", F.lit(0)).unionByName(behind)).where(F.size("typed") > 0)
     items = items.withColumn("width", F.least(F.lit(window), F.size("typed")))
     items, own = _with_spans(items, window), F.lit(None)
     for width in range(1, window + 1):
         own = F.when(F.col("width") == width, _windows(width)).otherwise(own)
-    found = items.withColumn("window", F.explode(own))
-    content = F.slice("typed", F.col("window.place") + 1, F.col("width"))
-    found = found.where(F.size(F.filter(content, lambda w: ~w.isin(NUMBER, UNIT, NAME))) >= literals)
-    found = found.select(
+    found = items.withColumn("window", F.explode(own)).select(
         "item_id",
-        F.xxhash64("item_id", "text").alias("item"),
+        "item",
+        "reading",
         F.col("window.place").alias("item_place"),
         F.col("window.hash").alias("hash"),
         "width",
         _slots(F.col("window.place"), F.col("width")).alias("item_slots"),
     )
-    # a window that an item repeats is matched at its first place
-    first = found.groupBy("item_id", "item", "hash", "width").agg(
-        F.min(F.struct("item_place", "item_slots")).alias("first")
+    # a window that an item repeats is matched at its first place; few literal words, at each place by its values
+    found = found.withColumn("few", _few(F.col("width"), F.col("item_slots"), literals))
+    found = found.withColumn("value", _value(F.col("width"), F.col("item_slots"), literals))
+    first = found.groupBy("item_id", "item", "hash", "width", "value", "few").agg(
+        F.min(F.struct("reading", "item_place", "item_slots")).alias("first")
+    )
+    first = first.select("item_id", "item", "hash", "width", "value", "few", "first.*")
+    first = first.withColumn("counted", F.xxhash64("hash", "value"))
+    alone = F.col("reading") == 0
+    total = first.groupBy("item").agg(
+        F.count_if(alone).alias("item_windows"),
+        F.count_if(alone & ~F.col("few")).alias("full_windows"),
+        F.min_by(F.struct("counted", "few"), F.struct("reading", "item_place")).alias("head"),
     )
-    total = first.groupBy("item").agg(F.count("*").alias("item_windows"))
     first = first.join(total, "item")
-    return first.select("item_id", "item", "hash", "width", "first.item_place", "first.item_slots", "item_windows")
+    return first.select(
+        "item_id", "item", "hash", "width", "value", "item_place", "item_slots", "item_windows", "full_windows",
+        F.when(alone, F.col("counted")).otherwise(F.col("head.counted")).alias("counted"),
+        F.when(alone, F.col("few")).otherwise(F.col("head.few")).alias("few"),
+        (~alone & (F.col("item_place") == 0)).alias("led"),
+    )
 
 
-def matched_windows(keyed: DataFrame, windows: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def matched_windows(
+    keyed: DataFrame, windows: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS, literals: int = LITERALS
+) -> DataFrame:
     """The windows of ``keyed`` (id_key, mark_key, doc_id, text) that an item has, with their slots.
 
     Every window of every document is hashed and held against the hashes of the benchmark, which are
     broadcast up to ``broadcast_windows`` of them, counted first, and shuffled beyond. Only documents with
-    a match are read again, for the values of the slots. Repeated rows count once.
+    a match are read again, for the values of the slots; a window of few literal words meets only items with
+    its own values, so that a table of numbers does not meet them all. Repeated rows count once.
     """
     hashes = windows.select("hash", "width").distinct()
     if windows.count() <= broadcast_windows:
@@ -151,7 +181,10 @@ def matched_windows(keyed: DataFrame, windows: DataFrame, broadcast_windows: int
     hit = keyed.join(matched, ["id_key", "mark_key"]).dropDuplicates(["id_key", "mark_key"])
     found = F.transform("spans", lambda s: s.withField("slots", _slots(s["place"], s["width"])))
     hit = _templates(hit).select("id_key", "mark_key", "doc_id", F.explode(found).alias("s"))
-    return hit.select("id_key", "mark_key", "doc_id", "s.*").join(windows, ["hash", "width"])
+    hit = hit.select("id_key", "mark_key", "doc_id", "s.*")
+    hit = hit.withColumn("value", _value(F.col("width"), F.col("slots"), literals))
+    hit = hit.join(windows, ["hash", "width", "value"])
+    return hit.where(~F.col("led") | (F.get("slots", F.lit(0)) == F.get("item_slots", F.lit(0))))
 
 
 def contaminated(
@@ -165,29 +198,46 @@ def contaminated(
 
     A line of matches counts if its slots are consistent: equal values of the item stand for equal values of the
     document, and different for different. A document holds an item if the lines that count have ``coverage``
-    of the item's windows. exact_slots tells whether a line has the item's own values. Null and empty texts
+    of its windows with ``literals`` literal words or more, or if these and the others, which count with the
+    item's own values alone, have it of all. matched and item_windows are the numbers of the one that holds,
+    first of all windows. exact_slots tells whether a line has the item's own values. Null and empty texts
     hold nothing; without documents or items the result is empty. Repeated rows give one row.
     """
     windows = stored(item_windows(benchmark, window, literals), "windows")
     keyed = docs.select("doc_id", whole_text().alias("text"))
     keyed = keyed.withColumns({"id_key": id_text(), "mark_key": F.xxhash64("text")})
-    found = matched_windows(keyed, windows)
+    found = matched_windows(keyed, windows, literals=literals)
 
-    item = ["id_key", "mark_key", "doc_id", "item_id", "item", "item_windows"]
+    item = ["id_key", "mark_key", "doc_id", "item_id", "item", "item_windows", "full_windows"]
     line = (F.col("place") - F.col("item_place")).alias("line")
-    pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs")).alias("pairs")
-    lines = found.select(*item, line, "hash", pairs).groupBy(*item, "line").agg(
-        F.collect_set("hash").alias("hashes"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    pairs = F.arrays_zip(F.col("item_slots").alias("ours"), F.col("slots").alias("theirs"))
+    # values that are the item's own by themselves bind no others
+    pairs = F.when(F.col("few"), F.slice(pairs, 1, 0)).when(F.col("led"), F.slice(pairs, F.lit(2), F.size(pairs))).otherwise(pairs)
+    lines = found.select(*item, line, "counted", "few", pairs.alias("pairs")).groupBy(*item, "line").agg(
+        F.collect_set(F.when(~F.col("few"), F.col("counted"))).alias("full"),
+        F.collect_set(F.when(F.col("few"), F.col("counted"))).alias("own"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     one_to_one = (F.size(F.array_distinct("pairs.ours")) == F.size("pairs")) & (
         F.size(F.array_distinct("pairs.theirs")) == F.size("pairs")
     )
+    lines = lines.withColumn("full", F.when(one_to_one, F.col("full")).otherwise(F.slice("full", 1, 0)))
+    lines = lines.where((F.size("full") > 0) | (F.size("own") > 0))
     same = F.forall("pairs", lambda p: p["ours"] == p["theirs"])
-    held = lines.where(one_to_one).withColumn("same", same).groupBy(*item).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("hashes")))).cast("long").alias("matched"),
-        F.max("same").alias("exact_slots"),
+
+    def number(hashes: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_set(hashes)))).cast("long")
+
+    held = lines.withColumn("same", same).groupBy(*item).agg(
+        number("full").alias("full"), number("own").alias("own"), F.max("same").alias("exact_slots")
     )
-    held = held.where(F.col("matched") >= F.lit(coverage) * F.col("item_windows"))
+    every = F.col("full") + F.col("own") >= F.lit(coverage) * F.col("item_windows")
+    full = (F.col("full") > 0) & (F.col("full") >= F.lit(coverage) * F.col("full_windows"))
+    held = held.where(every | full).select(
+        "id_key", "mark_key", "doc_id", "item_id", "exact_slots",
+        F.when(every, F.col("full") + F.col("own")).otherwise(F.col("full")).alias("matched"),
+        F.when(every, F.col("item_windows")).otherwise(F.col("full_windows")).alias("item_windows"),
+    )
     best = held.groupBy("id_key", "mark_key", "doc_id", "item_id").agg(
         F.max(F.struct("matched", "item_windows", "exact_slots")).alias("best")
     )
