@@ -28,21 +28,28 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-# A small labelled table of sites: what a URL filter is commonly asked to block, and ordinary ones.
+# A small labelled table of names: what a URL filter is commonly asked to block, and ordinary ones.
 BLOCKED = """
-casino-royal win-casino online-casino casinobonus slots-casino free-bets sport-bets bets24 betting-tips
-poker-bets adult-x adult-video xxx-adult adultdating adult-cams spam-farm link-farm spamlist content-farm
-spam-mail cheap-pills pills-online buy-pills cheapmeds discount-pills ads-track track-ads adserver ads-click
-adtrack phish-login malware-drop warez-crack torrent-crack
+casino casino-royal online-casino casinobonus slots-casino jackpot-slots roulette bets sport-bets bets24 betting betting-tips
+poker poker-bets poker-online gambling adult adult-video xxx-adult adultdating adult-cams porn porn-tube sex-cams
+spam spamlist spam-mail link-farm content-farm pills pills-online buy-pills cheapmeds discount-pills viagra ads adserver
+ads-click adtrack banner-ads phish-login phishing malware malware-drop warez warez-crack torrent-crack keygen
 """.split()
 ALLOWED = """
-news daily-news weather library university school museum city garden travel recipes kitchen science history maps
-forum health software wiki music books train sports art theatre brother weather-station thinking tension other
-northern nation station together author onthe inthe ation mountain answer farmers-market tracking-birds address
+news daily-news newspaper weather weather-station forecast library university school college museum city cityhall garden
+travel recipes kitchen bakery restaurant science history geography maps forum health hospital doctor pharmacy software wiki
+music orchestra books bookshop train station sports football tennis art gallery theatre theory brother mother nation national
+northern other together gathering author authority thinking tension attention information education mountain answer farmers
+farm-shop farmers-market link-list video video-lessons cameras tracking-birds address addition reading roads mail login
+shop content contact about archive calendar events jobs careers research students teachers parents children
+articles report reports documents download products services support press blog team history-of-art animals nature water
 """.split()
-# Every site of the table is shown at these places, so that the place says nothing about the label.
+# Every name is shown as a site at these places, and in the path of these neutral hosts, so that neither the place
+# nor the host, and neither part of a URL beside the one that holds the name, says anything about the label.
 AT = ("", "www.", "m.", "blog.")
 PLACES = (".test/", ".test/en/12", ".test/de/7.html", ".test/fr/30?page=2", ".test/es/5#top")
+NEUTRAL = ("example.test", "www.site.test", "m.page.test", "blog.host.test")
+PATHS = ("/{}", "/{}/", "/en/{}.html", "/{}/12", "/de/7/{}?page=2", "/online/{}/entertainment", "/articles/{}/information")
 
 
 def host(url: Column) -> Column:
@@ -84,13 +91,15 @@ def _featured(pages: DataFrame) -> DataFrame:
 
 
 def labelled_urls(spark: SparkSession, blocked=tuple(BLOCKED), allowed=tuple(ALLOWED)) -> DataFrame:
-    """The labelled table (url, label): 1 is to be blocked."""
+    """The labelled table (url, label): 1 is to be blocked. Names stand in the host or in the path."""
     sites = [(site, 1.0) for site in blocked] + [(site, 0.0) for site in allowed]
     table = F.array(*(F.struct(F.lit(site).alias("site"), F.lit(label).alias("label")) for site, label in sites))
     rows = spark.range(1).select(F.inline(table))
-    rows = rows.withColumn("at", F.explode(F.array(*map(F.lit, AT))))
-    rows = rows.withColumn("place", F.explode(F.array(*map(F.lit, PLACES))))
-    return rows.select(F.concat(F.lit("https://"), "at", "site", "place").alias("url"), "label")
+    sited = [(at, place) for at in AT for place in PLACES]
+    pathed = [(neutral + before, after) for neutral in NEUTRAL for before, after in (path.split("{}") for path in PATHS)]
+    around = F.array(*(F.struct(F.lit(f"https://{a}").alias("before"), F.lit(b).alias("after")) for a, b in sited + pathed))
+    rows = rows.withColumn("around", F.explode(around))
+    return rows.select(F.concat("around.before", "site", "around.after").alias("url"), "label")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
