@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame
 from starfold.llm.chat import format_conversations, read_back
 from starfold.llm.decontaminate import contaminated
 from starfold.llm.exact_dedup import duplicate_groups
+from starfold.llm.jaccard_join import jaccard_components
 from starfold.llm.language_id import language_table
 from starfold.llm.packing import pack_documents
 from starfold.llm.pii import personal_data
 from starfold.llm.registry import ORACLES, QUERIES, query
 from starfold.llm.secrets import secrets
 from starfold.llm.simhash import near_duplicates
+from starfold.llm.token_alignment import align_tokens
 from starfold.llm.toxicity import toxicity_table
 from starfold.llm.url_filter import judge_urls, labelled_urls, train
+from starfold.llm.whitening import whiten
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -102,3 +105,18 @@ def op3_pii_spans(documents: DataFrame) -> DataFrame:
 @query("documents,labels")
 def op9_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity_table(documents, labels)
+
+
+@query("embeddings")
+def op11_embedding_whitening(embeddings: DataFrame) -> DataFrame:
+    return whiten(embeddings)
+
+
+@query("documents")
+def op12_ngram_jaccard_join(documents: DataFrame) -> DataFrame:
+    return jaccard_components(documents)
+
+
+@query("documents")
+def op13_token_alignment(documents: DataFrame) -> DataFrame:
+    return align_tokens(documents)
