@@ -41,6 +41,8 @@ MOST_TASKS = 20_000
 BLOCK_ROWS = 256
 # Bytes of shingles in one batch of results.
 BATCH_BYTES = 16_000_000
+# Numbers of rows (8 bytes each) that are broadcast; beyond, all sets are shuffled to meet their candidates.
+BROADCAST_ROWS = 2_000_000
 MARK_SEED = 1
 
 
@@ -324,7 +326,12 @@ def set_links(
         u, v = exact_links(rows, percent)
         return pa.Table.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    full = met.join(sets.select("row", "size", "bits", "shingles"), "row")
+    arrays = sets.select("row", "size", "bits", "shingles")
+    wanted = stored(met.select("row").distinct(), "candidate-rows")
+    if wanted.count() <= BROADCAST_ROWS:
+        # few sets have a candidate: only those are shuffled
+        arrays = arrays.join(F.broadcast(wanted), "row", "left_semi")
+    full = met.join(arrays, "row")
     most = max(parts, 1 + (met.agg(F.max("task")).first()[0] or 0))
     full = full.repartitionById(most, F.col("task"))
     return full.groupBy("task", "cell", "group").applyInArrow(verify, "u long, v long")

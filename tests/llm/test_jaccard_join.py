@@ -87,6 +87,11 @@ def test_components_against_all_pairs(docs, tile_rows, monkeypatch):
     check(docs, family(3), tile_rows=tile_rows)
 
 
+def test_more_candidates_than_are_broadcast(docs, monkeypatch):
+    monkeypatch.setattr("starfold.llm.jaccard_join.BROADCAST_ROWS", 0)
+    check(docs, family(4, texts=2))
+
+
 def test_other_shingles_and_percentages(docs):
     check(docs, family(5), words=3, percent=60)
 
