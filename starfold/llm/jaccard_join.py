@@ -289,15 +289,17 @@ def _dealt(sets: DataFrame, tiles: DataFrame) -> DataFrame:
 
 
 def set_links(
-    sets: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS, tile_bytes: int = TILE_BYTES
+    sets: DataFrame, arrays: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS, tile_bytes: int = TILE_BYTES
 ) -> DataFrame:
-    """Links (u, v) of rows that connect exactly the ``sets`` (one row per distinct set) that link."""
+    """Links (u, v) of rows that connect exactly the ``sets`` (row, size, band, bits; one row per distinct set)
+    that link. ``arrays`` (row, size, bits, shingles) holds their shingles and may hold other rows.
+    """
     # below, one differing element is too many, so no two different sets link
     least = next(s for s in range(1, 10**6) if (100 - percent) * (s + s * 100 // percent) >= 100 + percent)
     sets = sets.where(F.col("size") >= least)
     tiles, pairs = _tiles(sets, percent, tile_rows, tile_bytes)
     tasks = min(pairs, MOST_TASKS)
-    dealt = _dealt(sets.select("row", "size", "band", "bits"), tiles)
+    dealt = _dealt(sets, tiles)
     dealt = dealt.withColumn("task", F.pmod("cell", F.lit(tasks)).cast("int")).repartitionById(tasks, F.col("task"))
 
     def candidates(rows: pa.Table) -> pa.Table:
@@ -326,7 +328,6 @@ def set_links(
         u, v = exact_links(rows, percent)
         return pa.Table.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    arrays = sets.select("row", "size", "bits", "shingles")
     wanted = stored(met.select("row").distinct(), "candidate-rows")
     if wanted.count() <= BROADCAST_ROWS:
         # few sets have a candidate: only those are shuffled
@@ -356,8 +357,9 @@ def jaccard_components(
     # rows are numbered as long as the file list stands, that of the stored table
     classes = found.where(some).groupBy("mark", "size").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     classes = stored(classes, "classes")
-    sets = found.join(classes.select("row"), "row", "left_semi")
-    linked = stored(roots(set_links(sets, percent, tile_rows, tile_bytes)), "roots")
+    sets = found.select("row", "size", "band", "bits").join(classes.select("row"), "row", "left_semi")
+    arrays = found.select("row", "size", "bits", "shingles")
+    linked = stored(roots(set_links(sets, arrays, percent, tile_rows, tile_bytes)), "roots")
     rooted = classes.join(linked, classes.row == linked.node, "left")
     rooted = rooted.select("mark", "size", "least", F.coalesce("root", "row").alias("root"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
