@@ -354,10 +354,10 @@ def jaccard_components(
     """
     found = stored(shingle_sets(docs, words, percent), "shingle-sets")
     some = F.col("size") > 0
-    # rows are numbered as long as the file list stands, that of the stored table
-    classes = found.where(some).groupBy("mark", "size").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
-    classes = stored(classes, "classes")
-    sets = found.select("row", "size", "band", "bits").join(classes.select("row"), "row", "left_semi")
+    # equal sets have equal bitmaps, so these come along as a part of the key
+    classes = found.where(some).groupBy("mark", "size", "band", "bits")
+    classes = stored(classes.agg(F.min("row").alias("row"), F.min("doc_id").alias("least")), "classes")
+    sets = classes.select("row", "size", "band", "bits")
     arrays = found.select("row", "size", "bits", "shingles")
     linked = stored(roots(set_links(sets, arrays, percent, tile_rows, tile_bytes)), "roots")
     rooted = classes.join(linked, classes.row == linked.node, "left")
