@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,7 +15,7 @@ from starfold.operators.dims import time_dimension
 from starfold.operators.facts import match_staging, with_hash_key
 from starfold.operators.quality import assert_quality, not_null
 from starfold.plans import listens as L
-from starfold.sinks.files import materialize, write_parquet
+from starfold.sinks.files import materialize, replace_slice, write_parquet
 from starfold.sources.files import read_if_present, run_path, stage
 
 # The load_date of a load without a date.
@@ -46,12 +48,13 @@ def run_daily(
         raise ValueError(f"{out_dir} holds a load of another kind; a whole and a dated load would repeat rows")
 
     def load(table: str, df: DataFrame) -> DataFrame:
-        # the partition is written as a folder of its own, which is replaced even if there are no rows
         path = f"{out_dir}/{table}"
-        if run_date is None and mode == "overwrite":
+        if mode == "append":
+            write_parquet(df, f"{path}/load_date={load_date}", mode=mode)
+        elif run_date is None:
             write_parquet(df.withColumn("load_date", F.lit(WHOLE)), path, ["load_date"], rebalance=False)
         else:
-            write_parquet(df, f"{path}/load_date={load_date}", mode=mode)
+            replace_slice(df, path, {"load_date": load_date})
         stored = spark.read.schema(StructType([*df.schema.fields, StructField("load_date", StringType())])).parquet(path)
         return stored.filter(F.col("load_date") == load_date).select(*df.columns)
 
@@ -62,9 +65,13 @@ def run_daily(
         ["session_id", "__t"], "songplay_id",
     )
     fact = load("songplays", keyed.select("songplay_id", *L.SONGPLAYS))
-    load("songs", L.songs(songs))
-    load("users", L.users(played))
-    load("artists", L.artists(songs))
-    load("time", time_dimension(fact, "start_time", weekday="number", distinct=False))
+    # the dimensions do not need each other, so their jobs are submitted side by side
+    dimensions = {
+        "songs": L.songs(songs), "users": L.users(played), "artists": L.artists(songs),
+        "time": time_dimension(fact, "start_time", weekday="number", distinct=False),
+    }
+    with ThreadPoolExecutor(len(dimensions)) as pool:
+        for loaded in [pool.submit(inheritable_thread_target(spark)(load), *named) for named in dimensions.items()]:
+            loaded.result()
     assert_quality(not_null(fact, "songplays", L.REQUIRED))
     return fact

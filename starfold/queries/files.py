@@ -166,15 +166,15 @@ def stage_any_case(t: Tables) -> DataFrame:
     return df.withColumn("Ts", F.date_format("Ts", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
-@query("SELECT n_nationkey, n_name || chr(10) || r_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_custkey, n_name || chr(10) || c_name AS label FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def csv_line_breaks(t: Tables) -> DataFrame:
     """Texts with line breaks, written as CSV and consolidated again."""
     path = t.scratch("line-breaks")
-    label = F.concat("n_name", F.lit("\n"), "r_name").alias("label")
-    named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", label)
+    label = F.concat("n_name", F.lit("\n"), "c_name").alias("label")
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", label)
     sinks.write_csv(named, path)
     return sources.consolidate_csv(
-        t.spark, path, "n_nationkey INT, label STRING", ["n_nationkey", "label"], require="label", multi_line=True
+        t.spark, path, "c_custkey BIGINT, label STRING", ["c_custkey", "label"], require="label", multi_line=True
     )
 
 

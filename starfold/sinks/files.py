@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starfold import schemas
 
+# Fixed value: the characters that Spark escapes in the names of partition folders.
+ESCAPED = "\"#%'*/:=?\\{[]^"
+
 
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     """Bring equal ``cols`` together in tasks of about the advisory size.
@@ -42,6 +48,30 @@ def write_parquet(
     writer.parquet(path)
 
 
+def _partition_folder(column: str, value: object) -> str:
+    """The folder that a partition of ``value`` is written to, escaped as Spark does."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    text = "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in str(value))
+    return f"{column}={text}"
+
+
+def replace_slice(
+    df: DataFrame, path: str, within: Mapping[str, object], partition_by: Sequence[str] = (), rebalance: bool = True
+) -> None:
+    """Replace all rows of a partitioned table whose leading partition columns have the values ``within``.
+
+    Further partitions of the slice (``partition_by``) that ``df`` has no rows of are gone afterwards, and with
+    an empty ``df`` the slice is, unlike under a dynamic overwrite; other slices are not touched. A row of ``df`` that
+    is outside the slice fails the write before the slice is changed.
+    """
+    wrong = [F.lit(False), *(~F.col(c).eqNullSafe(F.lit(v)) for c, v in within.items() if c in df.columns)]
+    outside = F.raise_error(F.lit(f"a row is outside the slice {dict(within)}")).cast("boolean")
+    checked = df.filter(F.when(reduce(or_, wrong), outside).otherwise(F.lit(True)))
+    folder = "/".join([path, *(_partition_folder(c, v) for c, v in within.items())])
+    write_parquet(checked.drop(*within), folder, partition_by, rebalance=rebalance)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: text files are parsed once, and later reads prune columns."""
     write_parquet(df, path)

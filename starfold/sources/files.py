@@ -8,13 +8,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 LATIN_1 = "ISO-8859-1"
 
 
 def read_json(
-    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False, strict: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: str | StructType, recursive: bool = False, strict: bool = False
 ) -> DataFrame:
     """JSON lines below ``path``: globs of fixed depth, or folders of any depth with ``recursive``.
 
@@ -26,29 +26,95 @@ def read_json(
     return reader.json(path if isinstance(path, str) else list(path))
 
 
-def read_json_any_case(
-    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False, strict: bool = False
-) -> DataFrame:
-    """JSON lines of flat objects, whose keys match the schema's names whatever their case.
+def spelled_keys(spark: SparkSession, path: str | Sequence[str], recursive: bool = False, most: int = 10_000) -> list[str]:
+    """The distinct top-level keys of the JSON lines below ``path``, as they are spelled.
 
-    A value that is not of its declared type is null. Of keys that differ in case alone the first counts.
-    Blank lines are skipped; a malformed one is a row of nulls, or fails the read with ``strict``.
+    One pass over the lines, which counts no values and keeps a row per key. More than ``most`` spellings, as
+    of objects whose keys are data, raise ``ValueError``.
     """
+    keys = _lines(spark, path, recursive).select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    found = [row[0] for row in keys.limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{path} has over {most} different keys")
+    return sorted(found)
+
+
+def _lines(spark: SparkSession, path: str | Sequence[str], recursive: bool) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", recursive)
     if recursive:
         reader = reader.option("pathGlobFilter", "*.json")
-    lines = reader.text(path if isinstance(path, str) else list(path)).filter(F.trim("value") != "")
-    entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    if strict:
-        bad = F.raise_error(F.concat(F.lit("malformed JSON: "), F.col("value")))
-        entries = F.coalesce(entries, bad.cast("array<struct<key:string,value:string>>"))
-    parsed = lines.select(F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))).alias("e"))
+    return reader.text(path if isinstance(path, str) else list(path)).filter(F.trim("value") != "")
 
-    def value(name: str) -> Column:
-        return F.get(F.filter("e", lambda e: e["k"] == name.lower()), F.lit(0))["v"]
 
+def read_json_any_case(
+    spark: SparkSession, path: str | Sequence[str], schema: str, recursive: bool = False, strict: bool = False
+) -> DataFrame:
+    """JSON lines of flat objects, whose keys match the schema's names whatever their case.
+
+    The keys' spellings are collected first; then Spark's typed reader reads with these. Where a name has
+    several spellings in the data, each is read and the first that is not null counts, the declared spelling
+    before others and these by name. A value that is not of its declared type is null. Blank lines are
+    skipped; a malformed line is a row of nulls. With ``strict`` both fail the read.
+    """
     fields = StructType.fromDDL(schema).fields
-    return parsed.select(*[value(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+    found: dict[str, list[str]] = {f.name: [] for f in fields}
+    for key in spelled_keys(spark, path, recursive):
+        for f in fields:
+            if key.lower() == f.name.lower():
+                found[f.name].append(key)
+    spellings = {f.name: sorted(found[f.name] or [f.name], key=lambda k: (k != f.name, k)) for f in fields}
+    if all(len(keys) == 1 for keys in spellings.values()):
+        spelled = StructType([StructField(spellings[f.name][0], f.dataType) for f in fields])
+        df = read_json(spark, path, spelled, recursive, strict)
+        return df.toDF(*[f.name for f in fields])
+    # keys that differ in case alone cannot be columns of one table, but are fields of one parsed value
+    every = [(name, key, f.dataType) for f in fields for name in [f.name] for key in spellings[name]]
+    kinds = StructType([StructField(key, kind) for _, key, kind in every])
+    parsed = F.from_json("value", kinds, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    numbered = StructType([StructField(f"c{k}", kind) for k, (_, _, kind) in enumerate(every)])
+    rows = _lines(spark, path, recursive).select(parsed.cast(numbered).alias("v"))
+    places = {f.name: [k for k, (name, _, _) in enumerate(every) if name == f.name] for f in fields}
+    return rows.select(*[F.coalesce(*[F.col(f"v.c{k}") for k in places[f.name]]).alias(f.name) for f in fields])
+
+
+class RejectedLines(ValueError):
+    """More lines were rejected than a load allows."""
+
+
+def stage_with_rejects(
+    spark: SparkSession, path: str | Sequence[str], schema: str, staging: str, most: int | None = None,
+    recursive: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Load JSON lines and split off those that do not fit: (rows, rejects with file, line and reason).
+
+    A line that is no JSON object is rejected as ``malformed``; one whose value is not of its column's declared
+    type as ``type of`` and the columns. Blank lines are skipped. The lines are parsed once, into ``staging``;
+    both results read from there. More than ``most`` rejects raise ``RejectedLines``.
+    """
+    kind = StructType.fromDDL(schema)
+    text = _lines(spark, path, recursive).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    whole = StructType([*kind.fields, StructField("__corrupt", StringType())])
+    parsed = text.withColumn("v", F.from_json("line", whole, {"columnNameOfCorruptRecord": "__corrupt"}))
+    # only lines that did not parse are looked at again
+    entries = F.from_json("line", "map<string,string>")
+
+    def untyped(name: str) -> Column:
+        given = F.get(F.map_values(F.map_filter(entries, lambda key, _: key == name)), F.lit(0))
+        return F.when(F.col(f"v.`{name}`").isNull() & given.isNotNull(), F.lit(name))
+
+    wrong = F.array_compact(F.array(*[untyped(f.name) for f in kind.fields]))
+    malformed = F.json_object_keys("line").isNull() | entries.isNull()
+    reason = F.when(malformed, "malformed").otherwise(F.concat(F.lit("type of "), F.array_join(wrong, ", ")))
+    bad = F.col("v.__corrupt").isNotNull() | F.col("v").isNull()
+    names = [F.col(f"v.`{f.name}`").alias(f.name) for f in kind.fields]
+    # the columns' names cannot clash with the load's own, which are kept in a struct
+    reject = F.when(bad, F.struct("file", "line", reason.alias("reason"))).alias("__reject")
+    parsed.select(*names, reject).write.mode("overwrite").parquet(staging)
+    stored = spark.read.parquet(staging)
+    rejects = stored.where("__reject is not null").select("__reject.*")
+    if most is not None and (count := rejects.count()) > most:
+        raise RejectedLines(f"{count} lines rejected, {most} allowed")
+    return stored.where("__reject is null").drop("__reject"), rejects
 
 
 def stage(
@@ -112,6 +178,32 @@ def read_parquet(spark: SparkSession, *paths: str, columns: Sequence[str] | None
     return df.select(*columns) if columns else df
 
 
+# Types that a column may take on from file to file, each read as the widest that occurs.
+WIDENINGS = (("tinyint", "smallint", "int", "bigint"), ("tinyint", "smallint", "int", "double"), ("float", "double"))
+
+
+def _wider(column: str, a: DataType, b: DataType) -> DataType:
+    for chain in WIDENINGS:
+        if a.simpleString() in chain and b.simpleString() in chain:
+            return max((a, b), key=lambda kind: chain.index(kind.simpleString()))
+    raise ValueError(f"column {column} is {a.simpleString()} in some files and {b.simpleString()} in others")
+
+
+def read_widened(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """One scan over Parquet folders that differ: columns missing from some, numbers narrower in some.
+
+    A missing column is null, a number has the widest of its types; types without a common one raise
+    ``ValueError``. Only one footer per folder is read beforehand, so the files of a folder must agree. Columns stand
+    in the order of their first occurrence; filters and pruned columns reach all files.
+    """
+    kinds: dict[str, DataType] = {}
+    for path in paths:
+        for f in spark.read.parquet(path).schema.fields:
+            kinds[f.name] = f.dataType if kinds.get(f.name, f.dataType) == f.dataType else _wider(f.name, kinds[f.name], f.dataType)
+    df = spark.read.schema(StructType([StructField(name, kind) for name, kind in kinds.items()])).parquet(*paths)
+    return df.select(*columns) if columns else df
+
+
 def read_if_present(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """The Parquet table at ``path`` in its declared schema; an empty one if nothing was written there yet."""
     try:
