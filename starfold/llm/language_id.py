@@ -18,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from starfold.llm.common import whole_text
+from starfold.llm.common import drawn, free_name, whole_text
 
 DIMENSIONS = 1024
 GRAM = 3
-# Labelled documents the prototypes are learned from, about; drawn by a hash of the id.
+# Labelled documents the prototypes are learned from, about, and of each language at least, where it has them.
 TRAINING_ROWS = 40_000
+LANGUAGE_ROWS = 200
 UNKNOWN = "und"
 # Documents whose profile is bundled at once.
 TOGETHER = 64
@@ -129,19 +130,35 @@ class Profiler:
         return out / np.where(norms > 0, norms, 1)
 
 
+def drawn_shares(counts: dict[str, int], most: int, least: int = LANGUAGE_ROWS) -> dict[str, float]:
+    """The share of each language's rows to draw, so that about ``most`` are drawn in all.
+
+    The rest of the bound is divided evenly among the languages that are left, the smallest first; what a small
+    one does not use is left to the others. No language has fewer than ``least`` rows drawn of those it has.
+    """
+    shares, left = {}, float(most)
+    for done, (lang, count) in enumerate(sorted(counts.items(), key=lambda item: (item[1], item[0]))):
+        part = max(left / (len(counts) - done), float(least))
+        shares[lang] = min(1.0, part / count)
+        left -= min(part, count)
+    return shares
+
+
 def prototypes(
     labelled: DataFrame, dimensions: int = DIMENSIONS, gram: int = GRAM, training_rows: int = TRAINING_ROWS
 ) -> dict[str, np.ndarray]:
     """A unit vector per language from ``labelled`` (doc_id, text, lang).
 
-    About ``training_rows`` rows with a language are used at most, drawn by a hash of doc_id, so that the
-    same rows are drawn wherever they lie. What reaches the driver is one vector per language.
+    About ``training_rows`` rows with a language are used at most, or ``LANGUAGE_ROWS`` for each language if that
+    is more, drawn by a hash of doc_id and text, so that the same rows are drawn wherever they lie. Languages share
+    the bound evenly, and one with fewer rows than its part is used whole. What reaches the driver is a count and
+    a vector per language.
     """
     rows = labelled.where("lang is not null").select("doc_id", whole_text().alias("text"), "lang")
-    total = rows.count()
-    if total > training_rows:
-        draw = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000))
-        rows = rows.where(draw < int(1_000_000 * training_rows / total))
+    shares = drawn_shares(dict(rows.groupBy("lang").count().collect()), training_rows)
+    if any(share < 1 for share in shares.values()):
+        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
+        rows = rows.where((share >= 1) | drawn(share, "doc_id", "text"))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(dimensions, gram), {}
@@ -208,7 +225,14 @@ def language_table(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is known: not ``und``, and scored ``least`` or more."""
+    """The rows of ``docs``, all columns, whose language is known: not ``und``, and scored ``least`` or more.
+
+    Where no row has a language, none can be learned, and only texts that are null or have no letter are
+    rejected. Repeated rows are judged alike and all stay. An empty table stays empty.
+    """
     known = prototypes(docs.where(~held_out()))
-    judged = identify(docs, known, named=("__lang", "__score"))
-    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
+    if not known:
+        return docs.where(whole_text().rlike(r"\p{L}"))
+    lang, score = free_name(docs, "found_lang"), free_name(docs, "found_score")
+    judged = identify(docs, known, named=(lang, score))
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import whole_text
+from starfold.llm.common import drawn, whole_text
 
 WORD = re.compile(r"[^\W\d_]+")
 # Characters of labelled text the field is trained on, about; drawn by a hash of the id.
@@ -253,7 +253,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, chars: int = TRAINING_CHAR
     sizes = short.select("doc_id", F.length("text").alias("size"))
     total = sizes.join(worst, "doc_id").agg(F.sum("size")).first()[0] or 0
     if total > chars:
-        short = short.where(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(1_000_000 * chars / total))
+        short = short.where(drawn(F.lit(chars / total), "doc_id"))
     rows = short.join(worst, "doc_id").orderBy("doc_id", "text")
     return rows.select("text", F.col("toxic").cast("int").alias("toxic"))
 

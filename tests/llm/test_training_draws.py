@@ -1,0 +1,77 @@
+"""Draws of training rows at totals far above their bounds, and what is done without labels."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starfold.llm.common import drawn, free_name, retain, without
+from starfold.llm.language_id import Profiler, drawn_shares, identify, keep_identified, prototypes
+from starfold.llm.toxicity import training_rows
+
+from .conftest import words
+
+
+@pytest.mark.parametrize("share", [1e-15, 1e-9, 1e-4, 0.3])
+def test_a_small_share_is_not_zero(spark, share):
+    # 62-bit hashes below the limit exist for every share a corpus can ask for
+    limit = spark.range(1).select((F.lit(share) * F.lit(float(1 << 62))).cast("long")).first()[0]
+    assert limit == pytest.approx(share * 2**62, abs=1) and limit > 1000
+    if share >= 1e-4:
+        ids = spark.range(200_000).select(F.col("id").alias("doc_id"))
+        assert ids.where(drawn(F.lit(share), "doc_id")).count() == pytest.approx(200_000 * share, rel=0.6)
+
+
+def test_shares_leave_small_languages_whole():
+    shares = drawn_shares({"en": 10**12, "de": 10**9, "is": 20, "none": 1}, 1000, 5)
+    assert shares["is"] == shares["none"] == 1
+    assert shares["en"] * 10**12 == pytest.approx(489.5) and shares["de"] * 10**9 == pytest.approx(489.5)
+    assert drawn_shares({"a": 3, "b": 4}, 100) == {"a": 1, "b": 1} and drawn_shares({}, 10) == {}
+    many = drawn_shares({f"l{i}": 10**9 for i in range(50)}, 2, 200)
+    assert all(share * 10**9 == pytest.approx(200) for share in many.values())
+
+
+def test_a_language_of_few_rows_among_many_is_learned(docs):
+    rows = [(i, "the quick words of the other kind " + " ".join(words(i % 7, 5)), "en") for i in range(3000)]
+    rows += [(10_000 + i, "þetta er íslenska og ekkert annað mál", "is") for i in range(20)]
+    known = prototypes(docs(*rows), training_rows=4)
+    assert set(known) == {"en", "is"}
+    judged = identify(docs((1, "íslenska er þetta mál", None)), known).first()
+    assert judged.lang_pred == "is"
+
+
+def test_toxicity_rows_are_drawn_from_far_more_than_the_bound(spark, docs):
+    table = docs(*[(i, "some words here", None) for i in range(4000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, toxic int")
+    drawn_rows = training_rows(table, labels, chars=6000).count()
+    assert 200 < drawn_rows < 700
+
+
+def test_languages_are_those_of_the_nearest_prototype_by_definition(docs):
+    """Bind, bundle and cosine, letter by letter."""
+    texts = {i: " ".join(words(i, 12)) for i in range(6)}
+    known = prototypes(docs(*[(i, t, "ab"[i % 2]) for i, t in texts.items()]))
+    profiler = Profiler(len(next(iter(known.values()))), 3)
+    for row in identify(docs(*[(i, t, None) for i, t in texts.items()]), known).collect():
+        profile = profiler.profiles([texts[row.doc_id]])[0]
+        cosines = {k: float(profile @ v / np.linalg.norm(profile)) for k, v in known.items()}
+        assert row.lang_pred == max(sorted(cosines), key=cosines.get)
+        assert row.score == pytest.approx(max(cosines.values()), abs=1e-5)
+
+
+def test_without_any_label_only_texts_without_letters_go(docs):
+    rows = [(1, "clean text", None), (2, None, None), (3, "123 --", None), (4, "", None), (5, "日本", None), (5, "日本", None)]
+    kept = keep_identified(docs(*rows))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5, 5] and kept.columns == docs().columns
+    assert keep_identified(docs()).collect() == []
+
+
+def test_columns_with_the_names_of_the_work_are_handed_on(spark):
+    table = spark.createDataFrame(
+        [(1, "a text", "en", "mine", "own", "l", 0.5)],
+        "doc_id long, text string, lang string, id_key string, MARK_key string, found_lang string, found_score double",
+    )
+    mark = F.xxhash64("text")
+    chosen = table.select(F.lit("1").alias("id_key"), mark.alias("mark_key"))
+    assert free_name(table, "mark_key") == "_mark_key"
+    for kept in (retain(table, chosen, mark), without(table, chosen.limit(0), mark), keep_identified(table)):
+        assert kept.columns == table.columns and [tuple(r) for r in kept.collect()] == [tuple(table.first())]
