@@ -100,7 +100,8 @@ def format_conversations(conversations: DataFrame, template: Template = DEFAULT)
     ``valid`` tells whether the machine accepts the order of the roles; invalid conversations are formatted
     all the same. Repeated rows are turns of their own. A row with a null conv_id belongs to the conversation
     null. Other columns are not read; an empty table gives an empty result. Turns are formatted where they
-    lie; only finished segments of a conversation meet, as its one output row needs them.
+    lie; only finished segments of a conversation meet, as its one output row needs them. A very long turn is
+    formatted whole; a conversation must fit in one row.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     turns = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))

@@ -201,7 +201,8 @@ def contaminated(
     of its windows with ``literals`` literal words or more, or if these and the others, which count with the
     item's own values alone, have it of all. matched and item_windows are the numbers of the one that holds,
     first of all windows. exact_slots tells whether a line has the item's own values. Null and empty texts
-    hold nothing; without documents or items the result is empty. Repeated rows give one row.
+    hold nothing; without documents or items the result is empty. Repeated rows give one row. A very long text is
+    read whole by one task; its windows are as many rows as it has words.
     """
     windows = stored(item_windows(benchmark, window, literals), "windows")
     keyed = docs.select("doc_id", whole_text().alias("text"))
@@ -245,6 +246,10 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item of ``benchmark``."""
+    """The rows of ``docs``, all columns, that hold no item of ``benchmark``.
+
+    Null and empty texts stay. Repeated rows are judged alike and all stay or go. Without documents the result is
+    empty, without items it is ``docs``.
+    """
     found = contaminated(docs, benchmark, **settings)
     return without(docs, found.select("id_key", "mark_key").distinct(), F.xxhash64(whole_text()))

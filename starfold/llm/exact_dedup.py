@@ -38,7 +38,7 @@ def duplicate_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     Of equal texts the row with the smallest doc_id stays; null ids come last, and of repeated rows
     exactly one stays. Null texts count as empty. An empty table gives an empty result. Other columns of
-    ``docs`` are not read.
+    ``docs`` are not read. Texts of any length are only digested; no text is shuffled.
     """
     rows = docs.select("doc_id", digest().alias("text_sha256"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
@@ -61,7 +61,10 @@ def duplicate_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs``, all columns, with one row for each distinct text."""
+    """The rows of ``docs``, all columns, with one row for each distinct text.
+
+    Null and empty texts are one text. Of repeated rows one stays, also where ids are null. An empty table stays empty.
+    """
     kept = duplicate_groups(docs, counters).where("kept")
     chosen = kept.select(id_text().alias("id_key"), F.col("text_sha256").alias("mark_key"))
     return retain(docs, chosen, digest())

@@ -218,7 +218,10 @@ def held_out(name: str = "doc_id"):
 
 
 def language_table(documents: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row; learned from the rows that are not held out."""
+    """doc_id, held_out, lang_pred, score for every row; learned from the rows that are not held out.
+
+    Repeated rows each have their result. A very long text is read whole. An empty table gives an empty result.
+    """
     known = prototypes(documents.where(~held_out()))
     rows = documents.select("doc_id", held_out().alias("held_out"), "text")
     return identify(rows, known).select("doc_id", "held_out", "lang_pred", "score")

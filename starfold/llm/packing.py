@@ -183,7 +183,9 @@ def pack_documents(
     """One row per piece of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are the end id alone. Pieces of the full length are sequences of their own, with
-    negative numbers; the others share sequences. Repeated rows and ids are packed once for each row. An
+    negative numbers; the others share sequences. Repeated rows and ids are packed once for each row. A very
+    long text is tokenised whole by one task. Exchange ends after three rounds at most, whether or not every
+    partition is certified by then; no piece is lost by that. An
     empty table gives an empty result; other columns are not read.
     """
     found = pieces(docs, capacity, tokenizer, ranks).withColumn("row", F.monotonically_increasing_id())

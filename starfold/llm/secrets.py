@@ -139,7 +139,8 @@ def secrets(docs: DataFrame, ranks: str | None = None, efficiency: float = EFFIC
 
     Spans are ``kind:start:end`` in code points by start, then kind, joined by commas; kind ``random`` comes
     from the token-efficiency test and overlaps no pattern's span. base_sha256 is the digest of the patterns' spans alone.
-    Null and empty texts have none; an empty table gives an empty result. Other columns are not read.
+    Null and empty texts have none; an empty table gives an empty result. Repeated rows each have their result.
+    A very long text is read whole by one task. Other columns are not read.
     """
     ranks = ranks or public_tokenizers.path(RANKS)
 

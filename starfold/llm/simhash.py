@@ -200,7 +200,7 @@ def near_duplicates(
     Documents are linked when their fingerprints differ in at most ``radius`` bits; component_id is the
     smallest doc_id reachable (null only if the component has no id). Null and empty texts have the
     fingerprint zero and are linked like any other. ``mark`` hashes the text and tells rows of one id apart.
-    An empty table gives an empty result; other columns are not read.
+    A very long text is read whole by one task. An empty table gives an empty result; other columns are not read.
     """
     return _rooted(docs, words, radius, tile_rows).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "mark"
@@ -210,7 +210,8 @@ def near_duplicates(
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each component: that of the smallest id.
 
-    Components are told apart by their root, since several may have no id or the same smallest one.
+    Components are told apart by their root, since several may have no id or the same smallest one. Null, empty
+    and blank texts are one component; of repeated rows one stays. An empty table stays empty.
     """
     first = _rooted(docs, words, radius, TILE_ROWS).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("first")

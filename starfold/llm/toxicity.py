@@ -333,7 +333,10 @@ def score_documents(docs: DataFrame, field: Field, predict_from: float = PREDICT
 
 
 def toxicity_table(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, spans for every row; learned from the rows that are not held out."""
+    """doc_id, held_out, score, predicted, spans for every row; learned from the rows that are not held out.
+
+    Repeated rows each have their result. A very long text is scored whole. An empty table gives an empty result.
+    """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     field = train(documents.where(~held_out), labels)
     scored = score_documents(documents, field)

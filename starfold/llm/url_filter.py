@@ -114,7 +114,8 @@ def judge_urls(pages: DataFrame, model: LogisticRegressionModel, rules=RULES, bl
 
     The longest rule that fits decides, else the model: block from ``block_from`` on. score is the model's
     probability in every case. A null url, or one without ``://``, has an empty host and path and is
-    judged by the model as such. Other columns are not read; an empty table gives an empty result.
+    judged by the model as such. Repeated rows each have their result. Other columns are not read; an empty table
+    gives an empty result.
     """
     parts = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     rule, verdict = deciding_rule(F.col("host"), F.col("path"), rules)
