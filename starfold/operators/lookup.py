@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starfold.functions.geo import unit_vector
 from starfold.functions.labels import NOT_IN_DICTIONARY, fill_sentinel
+from starfold.operators.facts import with_row_id
 from starfold.operators.joins import spread_join
 from starfold.session import scratch_dir
 
@@ -41,46 +44,27 @@ def lookup_name(
 _AXES = ("x", "y", "z")
 # Rounding slack for comparing distances computed in two ways.
 _SLACK = 1e-12
-
-
-def _cell(level: int) -> Column:
-    """The cube cell of a unit vector: 4 ** level cells along each axis of [-1, 1]."""
-    n = 4**level
-    parts = [
-        F.least(F.floor((F.col(a) + 1) / 2 * n), F.lit(n - 1)).cast("bigint") for a in _AXES
+# Sites of a leaf, and children of an inner node.
+LEAF_SITES, FAN = 16, 64
+# Bits of each axis in the order of the sites; a step is 12 m wide.
+ORDER_BITS = 20
+
+
+def _curve() -> Column:
+    """The place of a unit vector on a Z-order curve through the cube around the sphere."""
+    steps = [F.least(F.floor((F.col(a) + 1) / 2 * 2**ORDER_BITS), F.lit(2**ORDER_BITS - 1)).cast("bigint") for a in _AXES]
+    bits = [
+        F.shiftleft(F.shiftright(step, bit).bitwiseAND(F.lit(1)), 3 * bit + axis)
+        for bit in range(ORDER_BITS)
+        for axis, step in enumerate(steps)
     ]
-    return (parts[0] * n + parts[1]) * n + parts[2]
-
-
-def _boxes(sites: DataFrame, level: int) -> DataFrame:
-    """The occupied cells of a level, with the box around their sites and their parent cell.
-
-    The cells of the first level are their own parents.
-    """
-    bounds = [f(a).alias(f"__{n}_{a}") for a in _AXES for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    parent = _cell(level - 1 if level > 1 else 1)
-    return sites.groupBy(parent.alias("__cell"), _cell(level).alias("__child")).agg(*bounds)
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _sum_of_squares(terms: list[Column]) -> Column:
     return terms[0] * terms[0] + terms[1] * terms[1] + terms[2] * terms[2]
 
 
-# Sites a leaf cell may hold before the tree gets another level; at the last level a cell is 12 m wide.
-LEAF_SITES, MAX_DEPTH = 32, 10
-
-
-def search_depth(located: DataFrame) -> int:
-    """The first level at which no cell holds more than ``LEAF_SITES`` of ``located`` (x, y, z).
-
-    All levels are counted in one pass; a row per level reaches the driver.
-    """
-    cells = F.array(*(F.struct(F.lit(n).alias("level"), _cell(n).alias("cell")) for n in range(1, MAX_DEPTH + 1)))
-    counted = located.select(F.inline(cells)).groupBy("level", "cell").count()
-    fullest = dict(counted.groupBy("level").agg(F.max("count")).collect())
-    return next((n for n in sorted(fullest) if fullest[n] <= LEAF_SITES), MAX_DEPTH) if fullest else 1
-
-
 def located_sites(sites: DataFrame, keep: Sequence[str]) -> DataFrame:
     """The distinct places of ``sites`` as unit vectors, each with its lowest site; no nulls or NaN."""
     x, y, z = unit_vector(F.col("lat"), F.col("lon"))
@@ -97,64 +81,106 @@ def _is_place(lat: str, lon: str) -> Column:
     return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(numbers[0]) & ~F.isnan(numbers[1])
 
 
-def leaf_candidates(spots: DataFrame, located: DataFrame, depth: int) -> DataFrame:
-    """The leaf cells (``__cell``) that may hold the nearest site of each spot (lat, lon, x, y, z)."""
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class SiteTree:
+    """Sites packed into leaves of like size, with boxes above them.
+
+    ``leaves`` (__node, __sites), ``inner`` levels (__node, __children) from the lowest up, and ``root``, the
+    boxes of the top: at most ``FAN`` of them.
+    """
+
+    leaves: DataFrame
+    inner: list[DataFrame]
+    root: Column
+
+
+def site_tree(located: DataFrame) -> SiteTree:
+    """Pack ``located`` (x, y, z, __site) into a tree, by their order along a space-filling curve.
+
+    Each leaf has ``LEAF_SITES`` sites whatever ground they cover, and each node ``FAN`` children, so that the
+    number of levels follows the number of sites alone, not how densely a town is built. The sites are read
+    once; each level is written, ``FAN`` times smaller than the one below it. The top reaches the driver.
+    """
+    ranked = with_row_id(located.withColumn("__curve", _curve()), ["__curve", "lat", "lon"], "__rank", start=0)
+    ends = [f(a).alias(f"{n}_{a}") for a in _AXES for n, f in (("lo", F.min), ("hi", F.max))]
+    packed = F.collect_list(F.struct(*_AXES, "__site")).alias("__sites")
+    leaf = F.floor(F.col("__rank") / LEAF_SITES).alias("__node")
+    leaves = _written(ranked.groupBy(leaf).agg(packed, *ends), "site-leaves")
+    bounds = ["__node", *(f"{n}_{a}" for a in _AXES for n in ("lo", "hi"))]
+    around = [(F.min if n.startswith("lo") else F.max)(n).alias(n) for n in bounds[1:]]
+    level, inner = leaves, []
+    while len(top := level.select(*bounds).limit(FAN + 1).collect()) > FAN:
+        parent = F.floor(F.col("__node") / FAN).alias("__parent")
+        children = F.collect_list(F.struct(*bounds)).alias("__children")
+        level = _written(level.groupBy(parent).agg(children, *around).withColumnRenamed("__parent", "__node"), "site-boxes")
+        inner.append(level)
+    fields = ",".join(f"{n}:{'bigint' if n == '__node' else 'double'}" for n in bounds)
+    boxes = [F.struct(*(F.lit(row[n]).alias(n) for n in bounds)) for row in top]
+    return SiteTree(leaves, inner, F.array(*boxes).cast(f"array<struct<{fields}>>"))
+
+
+def _descend(cand: DataFrame, children: Column) -> DataFrame:
+    """Replace each candidate node by those of its children that may hold the nearest site of its spot."""
     per_spot = Window.partitionBy("lat", "lon")
-    # the search starts from the 4 ** 3 cells of the first level; 4 is the largest squared distance
-    first = F.sequence(F.lit(0).cast("bigint"), F.lit(4**3 - 1).cast("bigint"))
-    cand = spots.select("*", F.lit(4.0).alias("__best"), F.explode(first).alias("__cell"))
-    for level in range(1, depth + 1):
-        boxes = _boxes(located, level)
-        # the first level has at most 64 boxes
-        joined = spread_join(cand, F.broadcast(boxes) if level == 1 else boxes, "__cell")
-        below = [
-            F.greatest(F.col(f"__lo_{a}") - F.col(a), F.col(a) - F.col(f"__hi_{a}"), F.lit(0.0)) for a in _AXES
-        ]
-        beyond = [
-            F.greatest(F.abs(F.col(f"__lo_{a}") - F.col(a)), F.abs(F.col(f"__hi_{a}") - F.col(a))) for a in _AXES
-        ]
-        cand = (
-            joined.withColumn("__near", _sum_of_squares(below))
-            # by the bound of the level above, which spares the window most rows
-            .filter(F.col("__near") <= F.col("__best") + _SLACK)
-            .withColumn("__best", F.min(_sum_of_squares(beyond)).over(per_spot))
-            .filter(F.col("__near") <= F.col("__best") + _SLACK)
-            .select("lat", "lon", *_AXES, "__best", F.col("__child").alias("__cell"))
-        )
+    boxed = cand.select("lat", "lon", *_AXES, "__best", F.inline(children))
+    below = [F.greatest(F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}"), F.lit(0.0)) for a in _AXES]
+    sides = [(F.abs(F.col(f"lo_{a}") - F.col(a)), F.abs(F.col(f"hi_{a}") - F.col(a))) for a in _AXES]
+    beyond = [F.greatest(*side) for side in sides]
+    # a site lies on each face of its box, so that on one axis the nearer face may stand for the farther
+    spared = F.greatest(*(far * far - F.least(*side) * F.least(*side) for far, side in zip(beyond, sides, strict=True)))
+    return (
+        boxed.withColumn("__near", _sum_of_squares(below))
+        # by the bound of the level above, which spares the window most rows
+        .filter(F.col("__near") <= F.col("__best") + _SLACK)
+        .withColumn("__best", F.least("__best", F.min(_sum_of_squares(beyond) - spared).over(per_spot)))
+        .filter(F.col("__near") <= F.col("__best") + _SLACK)
+        .select("lat", "lon", *_AXES, "__best", "__node")
+    )
+
+
+def leaf_candidates(spots: DataFrame, tree: SiteTree) -> DataFrame:
+    """The leaves (``__node``) that may hold the nearest site of each spot (lat, lon, x, y, z)."""
+    # 4 is the largest squared distance on the sphere
+    cand = _descend(spots.withColumn("__best", F.lit(4.0)), tree.root)
+    for level in reversed(tree.inner):
+        joined = spread_join(cand, level.select("__node", "__children"), "__node")
+        cand = _descend(joined.drop("__node"), F.col("__children"))
     return cand
 
 
 def nearest_site(
-    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str], depth: int | None = None
+    points: DataFrame, sites: DataFrame, lat: str, lon: str, keep: Mapping[str, str]
 ) -> DataFrame:
     """Add columns of the nearest site to each point; ``keep`` maps site column -> new name.
 
     ``sites`` has ``site_id, lat, lon`` and the kept columns. Ties go to the lowest ``site_id``; points
     and sites without a place (null or NaN) find and are found by nothing.
 
-    The sites are written once to the shared folder, with their unit vectors. The search descends a tree
-    of cube cells around the sphere, a level per join. A point follows only cells that may still hold
-    its nearest site: those whose closest possible site is no farther than the farthest possible site of
-    some other cell. The tree is as deep as the counted sites ask for, so that a leaf holds few sites
-    also in a dense town; only sites within 12 m of each other share a leaf without limit. The result is
+    The sites are packed into a tree of boxes (``site_tree``), and the search descends it, a join per inner
+    level. A point follows only boxes that may still hold its nearest site: those whose closest possible
+    site is no farther than the farthest possible site of some other box. A dense town has smaller leaves,
+    not more levels, so the search costs the same number of shuffles wherever the sites lie. The result is
     exact. Each distinct place is searched once, whatever share of the points it has.
     """
-    located = located_sites(sites, list(keep))
-    path = scratch_dir(sites.sparkSession, "sites")
-    located.write.parquet(path)
-    located = sites.sparkSession.read.schema(located.schema).parquet(path)
-    depth = depth or search_depth(located)
+    tree = site_tree(located_sites(sites, list(keep)))
     x, y, z = unit_vector(F.col("lat"), F.col("lon"))
     spots = points.filter(_is_place(lat, lon)).select(F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct()
-    cand = leaf_candidates(spots.withColumns({"x": x, "y": y, "z": z}), located, depth)
-    leaves = located.select(
-        _cell(depth).alias("__cell"), "__site", *[F.col(a).alias(f"__s{a}") for a in _AXES]
-    )
-    distance = _sum_of_squares([F.col(a) - F.col(f"__s{a}") for a in _AXES])
+    # places are few bytes but much work, which adaptive execution would put together by their bytes
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cand = leaf_candidates(spots.repartition(parts, "lat", "lon").withColumns({"x": x, "y": y, "z": z}), tree)
+
+    met = spread_join(cand, tree.leaves.select("__node", F.col("__sites").alias("__s")), "__node")
+    met = met.select("lat", "lon", *_AXES, F.explode("__s").alias("__s"))
+    distance = _sum_of_squares([F.col(a) - F.col(f"__s.{a}") for a in _AXES])
     found = (
-        spread_join(cand, leaves, "__cell")
-        .groupBy("lat", "lon")
-        .agg(F.min(F.struct(distance.alias("d"), F.col("__site").alias("s"))).alias("__best"))
+        met.groupBy("lat", "lon")
+        .agg(F.min(F.struct(distance.alias("d"), F.col("__s.__site").alias("s"))).alias("__best"))
         .select(
             F.col("lat").alias(lat), F.col("lon").alias(lon),
             *[F.col(f"__best.s.{c}").alias(name) for c, name in keep.items()],

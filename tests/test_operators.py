@@ -186,25 +186,43 @@ def town(rnd, n):
 SITE = "site_id int, lat double, lon double"
 
 
-def test_search_depth_follows_the_counted_sites(spark):
+def located(spark, rows):
+    return lookup.located_sites(spark.createDataFrame(rows, SITE), ["site_id"])
+
+
+def test_the_tree_has_as_many_levels_for_a_dense_town_as_for_the_world(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "FAN", 8)
     rnd = random.Random(4)
     wide = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(3000)]
-    depths = [
-        lookup.search_depth(lookup.located_sites(spark.createDataFrame(rows, SITE), ["site_id"]))
-        for rows in ([], wide[:10], wide, town(rnd, 3000))
-    ]
-    assert depths[0] == 1 and depths == sorted(depths) and depths[2] < depths[3] <= lookup.MAX_DEPTH
+    trees = [lookup.site_tree(located(spark, rows)) for rows in ([], wide[:10], wide, town(rnd, 3000))]
+    assert [len(t.inner) for t in trees] == [0, 0, 2, 2]
+    assert [t.leaves.count() for t in trees] == [0, 1, 188, 188]
+    sizes = trees[3].leaves.select(F.size("__sites")).collect()
+    assert max(sizes)[0] <= lookup.LEAF_SITES and sum(r[0] for r in sizes) == 3000
 
 
-def test_a_point_in_a_dense_town_meets_few_sites(spark):
+def test_a_point_meets_few_sites_in_a_dense_town_and_far_from_it(spark):
     rnd = random.Random(5)
-    located = lookup.located_sites(spark.createDataFrame(town(rnd, 4000), SITE), ["site_id"]).cache()
-    spots = lookup.located_sites(spark.createDataFrame(town(rnd, 200), SITE), ["site_id"]).drop("__site")
-    depth = lookup.search_depth(located)
-    leaves = located.select(lookup._cell(depth).alias("__cell"))
-    met = lookup.leaf_candidates(spots, located, depth).join(leaves, "__cell").count()
-    assert met <= 200 * 8 * lookup.LEAF_SITES
-    located.unpersist()
+    world = [(10_000 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(1000)]
+    tree = lookup.site_tree(located(spark, town(rnd, 4000) + world))
+    places = town(rnd, 200) + [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(200)]
+    cand = lookup.leaf_candidates(located(spark, places).drop("__site"), tree).cache()
+    assert cand.select("lat", "lon").distinct().count() == 400
+    assert cand.count() <= 400 * 16
+    cand.unpersist()
+
+
+def test_shuffles_do_not_depend_on_where_the_sites_lie(spark, no_broadcast):
+    rnd = random.Random(6)
+    wide = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(5000)]
+    point = spark.createDataFrame([(59.8, 10.4)], "la double, lo double")
+    plans = []
+    for sites in (wide, town(rnd, 5000)):
+        found = lookup.nearest_site(point, spark.createDataFrame(sites, SITE), "la", "lo", {"site_id": "near"})
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        assert plans[-1].count("Exchange hashpartitioning") <= 12
+    assert plans[0].count("Join") == plans[1].count("Join") == 3
+    assert "NestedLoop" not in plans[0] and "Cartesian" not in plans[0]
 
 
 def test_sites_without_a_place_are_never_found(spark):
@@ -214,13 +232,15 @@ def test_sites_without_a_place_are_never_found(spark):
     assert lookup.nearest_site(point, ref.limit(0), "la", "lo", {"site_id": "near"}).first().near is None
 
 
-@pytest.mark.parametrize("depth", [None, 1, 3, 8])
+@pytest.mark.parametrize(("leaf", "fan"), [(16, 64), (16, 4), (1, 4)])
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_nearest_site_equals_brute_force(spark, request, depth, broadcast):
+def test_nearest_site_equals_brute_force(spark, request, monkeypatch, leaf, fan, broadcast):
     """Sites are scattered, with most of them in one dense town, and at the poles and the date line."""
     if not broadcast:
         request.getfixturevalue("no_broadcast")
-    rnd = random.Random(depth or 0)
+    monkeypatch.setattr(lookup, "LEAF_SITES", leaf)
+    monkeypatch.setattr(lookup, "FAN", fan)
+    rnd = random.Random(leaf + fan)
     sites = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(100)]
     sites += [(100 + i, 48.0 + rnd.uniform(0, 0.2), 2.0 + rnd.uniform(0, 0.2)) for i in range(200)]
     sites += [(900, 90.0, 0.0), (901, -90.0, 0.0), (902, 0.0, 180.0), (903, 0.0, -179.9), (904, 0.0, 180.0)]
@@ -231,7 +251,7 @@ def test_nearest_site_equals_brute_force(spark, request, depth, broadcast):
     df = spark.createDataFrame(points + [(999, None, 1.0), (998, float("nan"), 1.0)], "p int, la double, lo double")
     ref = spark.createDataFrame([(*s, f"R{s[0]}") for s in sites], "site_id int, lat double, lon double, region string")
     got = {r.p: (r.near, r.region) for r in lookup.nearest_site(
-        df, ref, "la", "lo", {"site_id": "near", "region": "region"}, depth=depth
+        df, ref, "la", "lo", {"site_id": "near", "region": "region"}
     ).collect()}
     expected = {p: (i, f"R{i}") for p, i in brute_nearest(points, sites).items()}
     assert got == {**expected, 999: (None, None), 998: (None, None)}
