@@ -1,16 +1,17 @@
 """Personal data by weak supervision.
 
-Patterns propose spans; four labelers vote on each: the strict pattern, a gazetteer of known parts, the
-words before it, and the characters beside it. Expectation-maximisation over the counts of vote patterns
-of the whole corpus estimates how far each labeler can be trusted. A logistic regression on the
-resulting soft labels is the final classifier of spans. Spans of the strict patterns always stay; the
-classifier decides on those that only the loose patterns propose.
+Patterns propose spans. Those of the strict patterns are proven by their form and always stay. Three
+labelers vote on each span: a gazetteer of known parts, the words before it, and the characters beside it.
+Expectation-maximisation over the counts of vote patterns of the whole corpus estimates how far each
+labeler can be trusted, for all kinds alike; proven spans count as personal data in it throughout. A logistic
+regression on the resulting soft labels of the loose patterns' spans is the final classifier, which
+decides on these.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -61,9 +62,12 @@ IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$"
 # Matches of a text whose places are counted together; appending to arrays of this size stays cheap.
 PART = 256
 
-VOTES = ("strict", "gazetteer", "context", "shape")
+VOTES = ("gazetteer", "context", "shape")
+# How often a labeler is taken to be right before any span is seen. This counts as much as all loose spans, and
+# the proven ones a tenth of that: few votes cannot be told apart from a labeler's mistakes by themselves.
+TRUST, PROVEN_PART = (0.55, 0.9, 0.55), 0.1
 ROUNDS = 30
-SPAN = "start:bigint,kind:int,end:bigint,strict:int,gazetteer:int,context:int,shape:int,long:int"
+SPAN = "start:bigint,kind:int,end:bigint,gazetteer:int,context:int,shape:int,long:int"
 
 
 def is_valid(kind: Kind, match: Column) -> Column:
@@ -92,7 +96,6 @@ def spans_of(text: Column, number: int) -> Column:
         words = F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS)
         touched = words.rlike(r"[\p{L}0-9]$") | after.rlike(r"^[\p{L}0-9]")
         votes = (
-            F.lit(int(kind.strict)),
             F.when(match.rlike(kind.known), 1).otherwise(-1),
             F.when(words.rlike(CUES), 1).when(words.rlike(OTHERS), -1).otherwise(0),
             F.when(touched, -1).otherwise(1),
@@ -165,65 +168,74 @@ def candidates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "base", F.when(F.size("loose") > 0, apart).otherwise(F.col("loose")).alias("loose"))
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int, float]], rounds: int = ROUNDS) -> list[float]:
+def estimate(
+    patterns: list[tuple[tuple[int, ...], int, float]], proven: Collection[int] = (), rounds: int = ROUNDS
+) -> list[float]:
     """Expectation-maximisation over (votes, kind, count): the probability that each pattern is personal data.
 
-    Each labeler has a distribution over its votes for personal data and one for the rest, each kind a
-    share of personal data. It begins with the share of positive votes.
+    Each labeler has a share of positive votes for personal data and one for the rest, among the spans on which
+    it votes (0 abstains), the same for all kinds. It begins with ``TRUST`` in the labelers. Spans of ``proven``
+    kinds are personal data; what they say of a labeler counts for ``PROVEN_PART`` of the others at most, since there
+    can be any number of them and words may speak otherwise of another kind. Any other span is held as likely as not until the labelers vote, since a share estimated
+    from a corpus with few contrary spans would carry these along.
     """
-    belief = [min(0.9, max(0.1, 0.5 + sum(votes) / (2 * len(votes)))) for votes, _, _ in patterns]
-    for _ in range(rounds):
-        share: dict[int, list[float]] = {}
-        theta: dict[tuple[int, int, int], float] = {}
-        total = [1.0, 1.0]
-        for p, (votes, kind, count) in zip(belief, patterns, strict=True):
-            own = share.setdefault(kind, [1.0, 1.0])
-            for truth, weight in ((1, p * count), (0, (1 - p) * count)):
-                own[truth] += weight
-                total[truth] += weight
-                for labeler, vote in enumerate(votes):
-                    theta[labeler, vote, truth] = theta.get((labeler, vote, truth), 0.0) + weight
+    trusted = [{1: share, 0: 1 - share} for share in TRUST]
+    anchors = [(votes, count) for votes, kind, count in patterns if kind in proven]
+    cast_by_anchors = [sum(count for votes, count in anchors if votes[n]) for n in range(len(TRUST))]
+    prior = sum((count for _, kind, count in patterns if kind not in proven), 1.0)
+    anchored = [min(1.0, PROVEN_PART * prior / total) if total else 0.0 for total in cast_by_anchors]
+    belief: list[float] = []
+    for _ in range(rounds + 1):
         belief = []
         for votes, kind, _ in patterns:
-            odds = math.log(share[kind][1] / share[kind][0])
-            for labeler, vote in enumerate(votes):
-                yes, no = ((theta[labeler, vote, truth] + 1) / (total[truth] + 3) for truth in (1, 0))
-                odds += math.log(yes / no)
-            belief.append(1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
+            odds = 0.0
+            for vote, positive in zip(votes, trusted, strict=True):
+                if vote:
+                    yes, no = (positive[truth] if vote > 0 else 1 - positive[truth] for truth in (1, 0))
+                    odds += math.log(yes / no)
+            belief.append(1.0 if kind in proven else 1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
+        cast = [{1: [prior * share, prior], 0: [prior * (1 - share), prior]} for share in TRUST]
+        for p, (votes, kind, count) in zip(belief, patterns, strict=True):
+            for vote, counts, scale in zip(votes, cast, anchored, strict=True):
+                part = count * scale if kind in proven else count
+                for truth, weight in ((1, p * part), (0, (1 - p) * part)):
+                    counts[truth][0] += weight * (vote > 0)
+                    counts[truth][1] += weight * (vote != 0)
+        trusted = [{truth: yes / total for truth, (yes, total) in counts.items()} for counts in cast]
     return belief
 
 
 def classifier(found: DataFrame) -> tuple[list[float], float] | None:
-    """Weights and intercept of the span classifier over ``_features``; None without any span.
+    """Weights and intercept of the classifier of loose spans over ``_features``; None without any such span.
 
     The spans' features are few discrete values, so that the corpus reaches the driver as the counts of
-    their combinations: at most 6 kinds x 81 votes x 6 lengths, whatever its size.
+    their combinations: at most 6 kinds x 12 votes x 6 lengths, whatever its size.
     """
     spans = found.select(F.explode(F.concat("base", "loose")).alias("s")).select("s.*")
     counted = spans.groupBy(*VOTES, "kind", "long").count().collect()
-    if not counted:
-        return None
-    rows = [(tuple(row[v] for v in VOTES), row["kind"], float(row["count"])) for row in counted]
-    belief = estimate(rows)
+    proven = {n for n, kind in enumerate(KINDS) if kind.strict}
+    belief = estimate([(tuple(row[v] for v in VOTES), row["kind"], float(row["count"])) for row in counted], proven)
     weighted = [
         F.struct(*(F.lit(row[c]).alias(c) for c in (*VOTES, "kind", "long")), F.lit(label).alias("label"), F.lit(row["count"] * p).alias("w"))
         for row, b in zip(counted, belief, strict=True)
+        if row["kind"] not in proven
         for label, p in ((1.0, b), (0.0, 1 - b))
     ]
+    if not weighted:
+        return None
     table = found.sparkSession.range(1).select(F.inline(F.array(*weighted)))
-    names = [f"f{n}" for n in range(len(_features(F.struct(F.lit(0).alias("kind")), bare=True)))]
-    table = table.select("label", "w", *(f.cast("double").alias(n) for n, f in zip(names, _features(F.struct("*")), strict=True)))
+    features = _features(F.struct(*(F.col(c) for c in (*VOTES, "kind", "long"))))
+    names = [f"f{n}" for n in range(len(features))]
+    table = table.select("label", "w", *(f.cast("double").alias(n) for n, f in zip(names, features, strict=True)))
     table = VectorAssembler(inputCols=names, outputCol="features").transform(table)
     learner = LogisticRegression(weightCol="w", regParam=0.001, maxIter=50, standardization=False)
     model = learner.fit(table.select("label", "w", "features"))
     return list(model.coefficients), model.intercept
 
 
-def _features(span: Column, bare: bool = False) -> list[Column]:
-    """The classifier's features of a span: its kind, the votes, its length."""
-    kinds = [(span["kind"] == n).cast("int") for n in range(len(KINDS))]
-    if bare:
-        return [*kinds, *([F.lit(0)] * (len(VOTES) + 1))]
+def _features(span: Column) -> list[Column]:
+    """The classifier's features of a loose span: its kind, the votes, its length."""
+    kinds = [(span["kind"] == n).cast("int") for n, kind in enumerate(KINDS) if not kind.strict]
     return [*kinds, *(span[v] for v in VOTES), span["long"]]
 
 

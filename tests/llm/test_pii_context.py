@@ -1,0 +1,31 @@
+"""Loose spans are told apart by their context, whatever else the corpus holds."""
+
+import pytest
+
+from starfold.llm.pii import estimate, personal_data
+
+BACKED = ("Call me at 212-555-{:04d} today", "her social security number is 123-45-{:04d}")
+REFUSED = ("order 212-555-{:04d} has shipped", "see article 123-45-{:04d} of it")
+PROVEN = ("write to user{0}@example.org", "the server 93.184.216.{1} is up", "ring +49 30 12{0:05d}", "it runs version 4.18.2.{1}")
+
+
+@pytest.mark.parametrize("others", [0, 300])
+@pytest.mark.parametrize("refused", [0, 5, 40])
+def test_context_decides_on_loose_spans(docs, others, refused):
+    backed = [text.format(n) for n in range(1, 41) for text in BACKED]
+    against = [text.format(n) for n in range(1, refused + 1) for text in REFUSED]
+    rest = [text.format(n, n % 250) for n in range(others) for text in PROVEN]
+    got = {r.doc_id: r.spans for r in personal_data(docs(*enumerate(backed + against + rest))).collect()}
+    found = ["local_phone" in got[n] or "ssn" in got[n] for n in range(len(backed) + len(against))]
+    assert sum(found[: len(backed)]) >= 0.9 * len(backed)
+    assert sum(found[len(backed) :]) <= 0.1 * len(against)
+
+
+def test_only_contrary_context_adds_nothing(docs):
+    got = personal_data(docs(*enumerate(text.format(n) for n in range(1, 21) for text in REFUSED))).collect()
+    assert [r.spans for r in got] == [""] * 40
+
+
+def test_proven_kinds_stay_and_abstaining_votes_say_nothing():
+    belief = estimate([((1, -1, -1), 0, 5.0), ((1, 1, 1), 4, 9.0), ((1, 0, 1), 0, 1e9), ((1, -1, 1), 4, 9.0)], {0})
+    assert belief[0] == belief[2] == 1.0 and belief[1] > 0.9 and belief[3] < 0.3
