@@ -7,12 +7,15 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starfold.operators import keyed
-from starfold.queries.files import EVENT_JSON, EVENT_ROWS, LINE_ROWS, ORDER, ORDER_DATED, as_text, base_and_delta
+from starfold.operators import keyed, profiles
+from starfold.queries.files import (
+    EVENT_JSON, EVENT_ROWS, LINE_ROWS, ORDER, ORDER_DATED, ORDER_ROWS, as_text, base_and_delta, event_json_dir,
+)
 from starfold.queries.registry import Tables, query
 from starfold.sinks import files as sinks
 from starfold.sinks.buckets import KeyedTable, save_bucketed
 from starfold.sources import files as sources
+from starfold.streaming import ingest
 
 BUCKETS = 32
 
@@ -119,3 +122,54 @@ def months_that_differ(t: Tables) -> DataFrame:
         sinks.write_parquet(df.where(of_month).drop("month"), f"{path}/{name}")
     found = sources.read_widened(t.spark, [f"{path}/{name}" for name in ("first", "second", "rest")])
     return as_text(found.withColumn("l_linenumber", F.col("l_linenumber").cast("long")), "l_shipdate").select(*t.lineitem.columns)
+
+
+@query(
+    f"""SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id, event_type, value, props FROM
+        (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn FROM events)
+        WHERE rn = 1"""
+)
+def ingest_by_folder(t: Tables) -> DataFrame:
+    """New files merged into folders by key hash; then all of them again, as after lost progress."""
+    table = KeyedTable(t.spark, t.scratch("ingest-folders"), EVENT_JSON, ("user_id",), BUCKETS)
+    path, progress = event_json_dir(t), t.scratch("ingest-progress")
+    for known in (progress, progress, t.scratch("ingest-progress")):
+        ingest.merge_new_files(table, path, EVENT_JSON, known, ORDER)
+    return table.rows()
+
+
+PROFILED = {"event_id": True, "user_id": True, "event_type": False}
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT 'events' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+            CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
+            {f"CAST(sum({c}) AS VARCHAR)" if number else "CAST(NULL AS VARCHAR)"} AS total,
+            count(DISTINCT {c}) AS n_distinct, true AS estimate_holds FROM events"""
+        for c, number in PROFILED.items()
+    )
+)
+def profile_of_batches(t: Tables) -> DataFrame:
+    """Two batches described one by one, the second twice; estimates are held to the exact counts within 4 %."""
+    path, columns = t.scratch("profiles"), list(PROFILED)
+    base, delta = base_and_delta(t)
+    for name, batch in (("base", base), ("delta", delta), ("delta", delta)):
+        profiles.store_profile(batch.select(*columns), path, name)
+    exact = t.events.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    exact = exact.unpivot([], columns, "column_name", "n_distinct")
+    found = profiles.stored_profile(t.spark, path, "events").join(exact, "column_name")
+    holds = F.abs(F.col("n_distinct_estimate") - F.col("n_distinct")) <= 0.04 * F.col("n_distinct")
+    return found.withColumn("estimate_holds", holds).drop("n_distinct_estimate")
+
+
+@query(
+    f"""SELECT {ORDER_ROWS} FROM orders WHERE o_custkey = (SELECT max(o_custkey) FROM orders)"""
+)
+def lookup_by_filter(t: Tables) -> DataFrame:
+    """All orders of one customer from a table that is sorted by time: filters in the files tell which row groups to read."""
+    path = t.scratch("with-filters")
+    sorted_by_time = t.orders.repartitionByRange("o_orderdate").sortWithinPartitions("o_orderdate")
+    sinks.write_parquet(sorted_by_time, path, bloom={"o_custkey": 1_000_000})
+    last = t.orders.agg(F.max("o_custkey")).first()[0]
+    return as_text(t.spark.read.parquet(path).where(F.col("o_custkey") == last), "o_orderdate")

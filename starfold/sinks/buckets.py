@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -102,3 +104,16 @@ class KeyedTable:
             columns = [f.name for f in StructType.fromDDL(self.schema).fields]
             write_parquet(new.select(*columns, "folder"), self._root, ["folder"], mode="append")
         return len(touched)
+
+    def compact(self, most: int = 1) -> int:
+        """Write the folders of more than ``most`` files anew, in the same table; returns their number.
+
+        Inserts add files to folders, merges do not. A folder beyond the advisory size keeps several files, so
+        ``most`` should be set above the number that its size asks for.
+        """
+        stored = self._stored()
+        files = Counter(int(re.search(r"/folder=(\d+)/", f).group(1)) for f in stored.inputFiles())
+        many = sorted(folder for folder, n in files.items() if n > most)
+        if many:
+            write_parquet(stored.where(F.col("folder").isin(many)), self._root, ["folder"], dynamic=True)
+        return len(many)

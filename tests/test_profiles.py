@@ -1,0 +1,87 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from starfold.operators import profiles
+
+SCHEMA = "`a b` INT, d DECIMAL(10,2), x DOUBLE, s STRING, day DATE, flag BOOLEAN, list ARRAY<INT>"
+
+
+def batches(spark, n):
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 != 0, F.col("id").cast("int")).alias("a b"),
+        (F.col("id") % 700).cast("decimal(10,2)").alias("d"),
+        (F.col("id") / 2).alias("x"),
+        F.concat(F.lit("s"), F.col("id") % 3000).alias("s"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 400).cast("int")).alias("day"),
+        (F.col("id") % 2 == 0).alias("flag"),
+        F.array((F.col("id") % 5).cast("int")).alias("list"),
+    )
+    return df, [df.where(F.col("x") % 3 < 1), df.where((F.col("x") % 3 >= 1) & (F.col("x") % 3 < 2)), df.where(F.col("x") % 3 >= 2)]
+
+
+def test_batches_add_up_to_the_whole(spark, tmp_path):
+    path = str(tmp_path / "p")
+    whole, parts = batches(spark, 20_000)
+    # the second batch is loaded twice
+    for name, part in [*enumerate(parts), (1, parts[1])]:
+        profiles.store_profile(part, path, name)
+    got = {r.column_name: r for r in profiles.stored_profile(spark, path, "t").collect()}
+    assert list(got) == whole.columns
+    for c in whole.columns:
+        q = f"`{c}`"
+        row = whole.agg(
+            F.count("*"), F.count_if(F.col(q).isNull()), F.min(q).cast("string"), F.max(q).cast("string"), F.count_distinct(q)
+        ).first()
+        assert tuple(got[c])[2:6] == tuple(row)[:4]
+        # five standard errors
+        assert abs(got[c].n_distinct_estimate - row[4]) <= 5 * 1.04 / 2 ** (profiles.SKETCH_BITS / 2) * row[4]
+    assert Decimal(got["a b"].total) == sum(i for i in range(20_000) if i % 10)
+    assert Decimal(got["d"].total) == sum(i % 700 for i in range(20_000))
+    assert float(got["x"].total) == 19_999 * 20_000 / 4
+    assert [got[c].total for c in ("s", "day", "flag", "list")] == [None] * 4
+
+
+def test_extremes_of_batches_are_compared_as_values(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for name, n in (("one", 9), ("two", 10)):
+        profiles.store_profile(spark.createDataFrame([(n,)], "k INT"), path, name)
+    row = profiles.stored_profile(spark, path, "t").first()
+    assert (row.min_value, row.max_value, row.total, row.n_distinct_estimate) == ("9", "10", "19", 2)
+    assert profiles.stored_profile(spark, path, "t", ["two"]).first().min_value == "10"
+
+
+def test_empty_batches_and_all_null_columns(spark, tmp_path):
+    path = str(tmp_path / "p")
+    empty = spark.createDataFrame([], SCHEMA)
+    profiles.store_profile(empty, path, "none")
+    for r in profiles.stored_profile(spark, path, "t").collect():
+        assert tuple(r)[2:] == (0, 0, None, None, None, 0)
+    day = dt.date(2020, 1, 1)
+    profiles.store_profile(spark.createDataFrame([(None, None, None, None, day, None, None)], SCHEMA), path, "nulls")
+    got = {r.column_name: r for r in profiles.stored_profile(spark, path, "t").collect()}
+    assert (got["a b"].n_rows, got["a b"].n_nulls, got["a b"].n_distinct_estimate) == (1, 1, 0)
+    assert (got["day"].n_nulls, got["day"].min_value, got["day"].n_distinct_estimate) == (0, "2020-01-01", 1)
+
+
+def test_old_batches_are_not_read_again(spark, tmp_path):
+    path = str(tmp_path / "p")
+    _, parts = batches(spark, 300)
+    for name, part in enumerate(parts):
+        profiles.store_profile(part, path, name)
+    profile = profiles.stored_profile(spark, path, "t")
+    assert len(profile.inputFiles()) == 3 and all("/p/batch=" in f for f in profile.inputFiles())
+    assert spark.read.parquet(path).count() == 3
+    one = profiles.stored_profile(spark, path, "t", [2])
+    assert {r.n_rows for r in one.collect()} == {parts[2].count()}
+
+
+@pytest.mark.parametrize("bits", [8, 14])
+def test_error_follows_the_sketch_not_the_number_of_batches(spark, tmp_path, bits):
+    path = str(tmp_path / "p")
+    for name in range(12):  # each batch repeats half of the values of the one before
+        profiles.store_profile(spark.range(name * 2_000, name * 2_000 + 4_000), path, name, bits)
+    estimate = profiles.stored_profile(spark, path, "t").first().n_distinct_estimate
+    assert abs(estimate - 26_000) <= 4 * 1.04 / 2 ** (bits / 2) * 26_000

@@ -12,6 +12,7 @@ from starfold.queries import QUERIES
 from starfold.sinks import files as sinks
 from starfold.sinks.buckets import KeyedTable, save_bucketed
 from starfold.sources import files as sources
+from starfold.streaming import ingest
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -121,6 +122,106 @@ def test_another_number_of_folders_is_refused(spark, table):
         KeyedTable(spark, table.path, table.schema, table.keys, 8).rows()
 
 
+def files_of(folder):
+    return sorted(folder.rglob("part-*.parquet"))
+
+
+def test_compaction_in_the_same_table(spark, table, tmp_path):
+    for first in range(0, 200, 40):
+        table.insert_absent(batch(spark, *[(k, 1, "a") for k in range(first, first + 40)]), ["t"])
+    before, many = rows(table.rows()), files_of(tmp_path / "keyed")
+    assert len(many) > 32 and table.compact() == 16
+    assert len(files_of(tmp_path / "keyed")) == 16 and rows(table.rows()) == before
+    assert table.compact() == 0
+    table.insert_absent(batch(spark, (1000, 1, "a")), ["t"])
+    kept = set(files_of(tmp_path / "keyed"))
+    assert table.compact(most=2) == 0 and table.compact() == 1
+    # only the folder with two files was written again
+    assert len(kept - set(files_of(tmp_path / "keyed"))) == 2
+
+
+# ---- ingest into keyed folders --------------------------------------------------------------------
+
+
+def put(folder, name, *values):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(json.dumps(dict(zip(("k", "t", "v"), v))) for v in values))
+
+
+def test_ten_ingests_leave_a_bounded_number_of_files(spark, table, tmp_path):
+    src, truth = tmp_path / "src", {}
+
+    def run(progress="progress", **options):
+        ingest.merge_new_files(table, str(src), table.schema, str(tmp_path / progress), ["t"], **options)
+        return rows(table.rows())
+
+    for n in range(10):
+        new = [((n * 17 + i) % 90, n - i % 3, f"{n}-{i}") for i in range(40)]
+        put(src, f"{n}.json", *new)
+        for k, t, v in new:
+            truth[k] = max(truth.get(k, (t, v)), (t, v), key=lambda row: row[0])
+        expected = sorted(((k, t, v) for k, (t, v) in truth.items()), key=str)
+        assert [r[0] for r in run()] == [r[0] for r in expected]
+        assert len(files_of(tmp_path / "keyed")) <= 16
+    before, stamps = rows(table.rows()), {p: p.stat().st_mtime_ns for p in files_of(tmp_path / "keyed")}
+    assert [r[:2] for r in before] == [r[:2] for r in expected]
+    # nothing new: nothing is written
+    assert run() == before and {p: p.stat().st_mtime_ns for p in files_of(tmp_path / "keyed")} == stamps
+    # the progress is lost: all files are read again, several a batch, and bring nothing new
+    again = run("other", max_batch_bytes=2_000)
+    assert [r[:2] for r in again] == [r[:2] for r in before] and len(files_of(tmp_path / "keyed")) <= 16
+
+
+def test_small_batch_leaves_other_folders_alone(spark, table, tmp_path):
+    src = tmp_path / "src"
+    put(src, "all.json", *[(k, 1, "a") for k in range(200)])
+    ingest.merge_new_files(table, str(src), table.schema, str(tmp_path / "progress"), ["t"])
+    stamps = {p: p.stat().st_mtime_ns for p in files_of(tmp_path / "keyed")}
+    put(src, "one.json", (7, 2, "b"), (7, 3, "c"), (7, 0, "old"))
+    ingest.merge_new_files(table, str(src), table.schema, str(tmp_path / "progress"), ["t"])
+    same = [p for p in files_of(tmp_path / "keyed") if stamps.get(p) == p.stat().st_mtime_ns]
+    assert len(stamps) == 16 and len(same) == 15
+    assert (7, 3, "c") in rows(table.rows()) and table.rows().count() == 200
+
+
+def test_files_that_were_merged_are_archived(spark, table, tmp_path):
+    src, archive = tmp_path / "src", tmp_path / "archive"
+    for n in range(3):
+        put(src, f"{n}.json", (n, 1, "a"))
+        ingest.merge_new_files(
+            table, str(src), table.schema, str(tmp_path / "progress"), ["t"], archive_dir=str(archive)
+        )
+    # those of the last batch wait for the next one
+    assert [p.name for p in src.glob("*.json")] == ["2.json"]
+    assert sorted(p.name for p in archive.rglob("*.json")) == ["0.json", "1.json"]
+    assert rows(table.rows()) == [(0, 1, "a"), (1, 1, "a"), (2, 1, "a")]
+
+
+# ---- lookups by filters in the files --------------------------------------------------------------
+
+
+def scanned(df):
+    """The rows that the scan of ``df`` read, and the result."""
+    result = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value(), result
+
+
+def test_lookup_reads_only_row_groups_that_may_hold_the_key(spark, tmp_path):
+    # keys in no order, so that extremes of row groups say nothing
+    df = spark.range(0, 200_000, 1, 8).select(F.xxhash64("id").alias("key"), "id", F.hash("id").cast("string").alias("name"))
+    sinks.write_parquet(df, str(tmp_path / "plain"))
+    sinks.write_parquet(df, str(tmp_path / "filtered"), bloom={"key": 25_000, "name": 25_000})
+    wanted = df.where("id = 77777").first()
+    for condition in (F.col("key") == wanted.key, F.col("name") == wanted.name, F.col("key").isin(wanted.key, 5)):
+        read, result = scanned(spark.read.parquet(str(tmp_path / "filtered")).where(condition))
+        assert [tuple(r) for r in result] == [tuple(wanted)] and read <= 50_000
+        read, result = scanned(spark.read.parquet(str(tmp_path / "plain")).where(condition))
+        assert [tuple(r) for r in result] == [tuple(wanted)] and read == 200_000
+    # a key that no file has
+    assert scanned(spark.read.parquet(str(tmp_path / "filtered")).where(F.col("key") == 12345))[0] <= 25_000
+
+
 # ---- slices ---------------------------------------------------------------------------------------
 
 
