@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starfold.operators.dims import first_per_key, latest_per_key
 
-__all__ = ["absent_rows", "first_per_key", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
+__all__ = ["absent_rows", "first_per_key", "in_time_of", "insert_if_absent", "latest_per_key", "upsert_full", "upsert_partial"]
 
 
 def _both(base: DataFrame, delta: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -69,6 +69,20 @@ def absent_rows(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: S
     return incoming.join(known, same, "left_anti").select(*delta.columns)
 
 
+def in_time_of(base: DataFrame, delta: DataFrame, time: str) -> DataFrame:
+    """The rows of ``base`` from the span of time of ``delta``, and those without a time.
+
+    No other row of the base can have a key of the delta that holds ``time``, so a merge needs none. The span is two
+    values known before the base is read, and reaches its scan: batches of other times are skipped by
+    the extremes in their files.
+    """
+    first, last = delta.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first()
+    timeless = F.col(time).isNull()
+    if first is None:
+        return base.where(timeless)
+    return base.where(timeless | F.col(time).between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
+
+
 def insert_if_absent(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Base with the first delta row of each key that it lacks; base rows stay as they are."""
     return base.unionByName(absent_rows(base, delta, keys, order).select(*base.columns))

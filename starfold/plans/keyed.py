@@ -1,7 +1,7 @@
 """Keyed incremental build: each run adds a batch of files to the tables.
 
-A table is a folder of batches. A run reads the keys of the batches before its own and writes only what it
-adds. The last batch may be run again and is replaced; an earlier one may not, as later ones build on it.
+A table is a folder of batches. A run reads the keys of the batches before its own, of times only those in the
+span of its own log, and writes only what it adds. The last batch may be run again and is replaced; an earlier one may not, as later ones build on it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starfold import schemas
 from starfold.operators.dims import project, time_dimension
 from starfold.operators.facts import match_left_first, with_row_id
-from starfold.operators.keyed import absent_rows, first_per_key, upsert_partial
+from starfold.operators.keyed import absent_rows, first_per_key, in_time_of, upsert_partial
 from starfold.operators.quality import enforce_not_null
 from starfold.plans import listens as L
 from starfold.sinks.files import materialize, write_parquet
@@ -66,7 +66,11 @@ def run_keyed(
 
     log = read_json(spark, [f"{in_dir}/{p}" for p in logs], schemas.LISTEN_LOG, recursive=True)
     played = L.staged_plays(log, f"{staging}/plays", distinct=True)
-    add_absent("time", time_dimension(L.with_start_time(played), "start_time"), ["start_time"], ["start_time"])
+    times = time_dimension(L.with_start_time(played), "start_time")
+    if batch:
+        known = in_time_of(_batches(spark, out_dir, "time", batch), L.with_start_time(played), "start_time")
+        times = absent_rows(known, times, ["start_time"], ["start_time"])
+    add("time", times)
 
     versions = project(played, {**L.USERS, "ts": "ts", "session_id": "sessionId", "item": "itemInSession"})
     add("users", _merge_users(versions.limit(0), versions))

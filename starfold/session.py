@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the older form has no extremes in the files, so that no scan could skip other times
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 _local_dirs: dict[str, str] = {}

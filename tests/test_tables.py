@@ -309,3 +309,27 @@ def test_months_with_missing_columns_and_wider_types(spark, tmp_path):
     spark.createDataFrame([("t",)], "x string").write.parquet(f"{tmp_path}/c")
     with pytest.raises(ValueError, match="column x is bigint in some files and string"):
         sources.read_widened(spark, [f"{tmp_path}/{k}" for k in "bc"])
+
+
+# ---- merges by time -------------------------------------------------------------------------------
+
+
+def test_base_of_other_times_is_not_read(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "at TIMESTAMP, n INT"
+    day = dt.datetime(2018, 11, 1)
+    for n in range(3):
+        some = [(day + dt.timedelta(days=30 * n, minutes=i), n) for i in range(100)]
+        sinks.write_parquet(spark.createDataFrame(some, schema).coalesce(1), f"{path}/batch={n}")
+    sinks.write_parquet(spark.createDataFrame([(None, 9)], schema).coalesce(1), f"{path}/batch=3")
+    base = spark.read.parquet(path)
+    delta = spark.createDataFrame([(day + dt.timedelta(days=30, minutes=i), 5) for i in (7, 99, 100)] + [(None, 5)], schema)
+    near = keyed.in_time_of(base, delta, "at")
+    read, result = scanned(near)
+    assert read <= 101 and len(result) == 94
+    for whole in (base, near):
+        assert rows(keyed.absent_rows(whole, delta, ["at"], ["n"])) == [(day + dt.timedelta(days=30, minutes=100), 5)]
+    # a delta without times meets only rows without one
+    timeless = delta.where("at is null")
+    assert rows(keyed.in_time_of(base, timeless, "at").select("n")) == [(9,)]
+    assert keyed.absent_rows(keyed.in_time_of(base, timeless, "at"), timeless, ["at"], ["n"]).collect() == []
+    assert keyed.in_time_of(base, delta.limit(0), "at").where("at is not null").collect() == []
