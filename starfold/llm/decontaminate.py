@@ -20,6 +20,8 @@ LITERALS = 5
 # Part of an item's windows that a document must share.
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 2_000_000
+# Hashes of texts with a match that are broadcast at most.
+BROADCAST_MARKS = 2_000_000
 
 NUMBER, UNIT, NAME = "⟨n⟩", "⟨u⟩", "⟨p⟩"
 # Units that follow a number; fixed values.
@@ -158,18 +160,21 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, literals: int = LIT
 
 
 def matched_windows(
-    keyed: DataFrame, windows: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS, literals: int = LITERALS
+    keyed: DataFrame, windows: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS, literals: int = LITERALS,
+    broadcast_marks: int = BROADCAST_MARKS,
 ) -> DataFrame:
     """The windows of ``keyed`` (id_key, mark_key, doc_id, text) that an item has, with their slots.
 
-    Every window of every document is hashed and held against the hashes of the benchmark, which are
-    broadcast up to ``broadcast_windows`` of them, counted first, and shuffled beyond. Only documents with
-    a match are read again, for the values of the slots; a window of few literal words meets only items with
-    its own values, so that a table of numbers does not meet them all. Repeated rows count once.
+    Every window of every document is hashed and held against the hashes of the benchmark, of 12 bytes each, which
+    are broadcast up to ``broadcast_windows`` of them, counted first, and shuffled beyond. Only documents with
+    a match are read again, for the values of the slots: the matches are stored, and up to ``broadcast_marks`` of their
+    texts' hashes, 8 bytes each, are broadcast to pick these documents before they are moved; beyond, all are. A
+    window of few literal words meets only items with its own values, so that a table of numbers does not meet
+    them all. The items' windows are broadcast by the size that Spark measures. Repeated rows count once.
     """
     hashes = windows.select("hash", "width").distinct()
-    if windows.count() <= broadcast_windows:
-        hashes, windows = F.broadcast(hashes), F.broadcast(windows)
+    if hashes.count() <= broadcast_windows:
+        hashes = F.broadcast(hashes)
     widths = sorted(row[0] for row in windows.select("width").distinct().collect())  # at most the window's width
     every = F.concat(*map(_windows, widths or [WINDOW]))
     spans = _with_spans(_templates(keyed), max(widths or [WINDOW]))
@@ -177,8 +182,12 @@ def matched_windows(
     span = span.select("id_key", "mark_key", "span.place", "span.hash", "span.width")
     matched = span.join(hashes, ["hash", "width"], "left_semi")
     matched = matched.groupBy("id_key", "mark_key").agg(F.collect_set(F.struct("place", "hash", "width")).alias("spans"))
+    matched = stored(matched, "matches")
 
-    hit = keyed.join(matched, ["id_key", "mark_key"]).dropDuplicates(["id_key", "mark_key"])
+    marks, near = matched.select("mark_key").distinct(), keyed
+    if marks.count() <= broadcast_marks:
+        near = keyed.join(F.broadcast(marks), "mark_key", "left_semi")
+    hit = near.join(matched, ["id_key", "mark_key"]).dropDuplicates(["id_key", "mark_key"])
     found = F.transform("spans", lambda s: s.withField("slots", _slots(s["place"], s["width"])))
     hit = _templates(hit).select("id_key", "mark_key", "doc_id", F.explode(found).alias("s"))
     hit = hit.select("id_key", "mark_key", "doc_id", "s.*")
@@ -251,5 +260,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> Data
     Null and empty texts stay. Repeated rows are judged alike and all stay or go. Without documents the result is
     empty, without items it is ``docs``.
     """
-    found = contaminated(docs, benchmark, **settings)
-    return without(docs, found.select("id_key", "mark_key").distinct(), F.xxhash64(whole_text()))
+    found = contaminated(docs, benchmark, **settings).select("id_key", "mark_key").distinct()
+    # stored, so that its size is known: within Spark's broadcast limit the documents are not moved
+    return without(docs, stored(found, "contaminated"), F.xxhash64(whole_text()))

@@ -267,5 +267,27 @@ def test_decontamination_beyond_broadcast(docs, frame):
     keyed = docs((1, f"x {QUESTION}"), (2, "other")).select("doc_id", whole_text().alias("text"))
     keyed = keyed.withColumns({"id_key": id_text(), "mark_key": F.xxhash64("text")})
     windows = item_windows(frame("item_id long, text string", (7, QUESTION)))
-    near, far = (sorted(map(str, matched_windows(keyed, windows, n).collect())) for n in (10**6, 0))
+    near, far = (sorted(map(str, matched_windows(keyed, windows, n, broadcast_marks=n).collect())) for n in (10**6, 0))
     assert near == far and near
+
+
+def test_documents_without_a_match_are_not_moved(spark):
+    from pyspark.sql import functions as F
+
+    from starfold.llm.common import id_text, whole_text
+    from starfold.llm.decontaminate import item_windows, matched_windows
+
+    item = "the quick brown fox jumps over the lazy dog near a river bank"
+    texts = [(n, item if n % 50 == 0 else f"nothing that the items hold stands in text {n} of these") for n in range(500)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    keyed = docs.withColumns({"text": whole_text(), "id_key": id_text(), "mark_key": F.xxhash64(whole_text())})
+    windows = item_windows(spark.createDataFrame([(1, item)], "item_id long, text string"))
+
+    def before_exchange(marks):
+        text = matched_windows(keyed, windows, broadcast_marks=marks)._jdf.queryExecution().executedPlan().toString()
+        return "LeftSemi, BuildRight" in text
+
+    # picked by a broadcast of hashes, or, beyond its bound, moved and joined
+    assert before_exchange(10**6) and not before_exchange(0)
+    found = {r.doc_id for r in matched_windows(keyed, windows).select("doc_id").collect()}
+    assert found == set(range(0, 500, 50)) == {r.doc_id for r in matched_windows(keyed, windows, broadcast_marks=0).collect()}
