@@ -57,3 +57,11 @@ def test_enforced_constraint_fails_the_write(df, tmp_path):
     with pytest.raises(Exception, match="t.v must not be null"):
         quality.enforce_not_null(df, "t", ["v"]).write.parquet(str(tmp_path / "bad"))
     assert not (tmp_path / "bad" / "_SUCCESS").exists()
+
+
+def test_exact_profile_sorts_no_copies_of_rows(spark):
+    wide = spark.createDataFrame([(1, "a", 2.0), (2, None, 2.0), (2, "a", None)], "k int, v string, w double")
+    found = quality.profile(wide, "t", distinct="exact")
+    assert [tuple(r)[1:4] + tuple(r)[-1:] for r in found.collect()] == [("k", 3, 0, 2), ("v", 3, 1, 1), ("w", 3, 1, 1)]
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.n_distinct for r in quality.profile(wide.limit(0), "t", distinct="exact").collect()] == [0, 0, 0]
