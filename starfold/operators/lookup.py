@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -91,13 +91,14 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 class SiteTree:
     """Sites packed into leaves of like size, with boxes above them.
 
-    ``leaves`` (__node, __sites), ``inner`` levels (__node, __children) from the lowest up, and ``root``, the
-    boxes of the top: at most ``FAN`` of them.
+    ``leaves`` (__node, __sites), ``inner`` levels (__node, __children) from the lowest up, and the boxes of the
+    top, at most ``FAN`` of them, as ``root`` and as the rows ``top``.
     """
 
     leaves: DataFrame
     inner: list[DataFrame]
     root: Column
+    top: list[Row]
 
 
 def site_tree(located: DataFrame) -> SiteTree:
@@ -122,23 +123,43 @@ def site_tree(located: DataFrame) -> SiteTree:
         inner.append(level)
     fields = ",".join(f"{n}:{'bigint' if n == '__node' else 'double'}" for n in bounds)
     boxes = [F.struct(*(F.lit(row[n]).alias(n) for n in bounds)) for row in top]
-    return SiteTree(leaves, inner, F.array(*boxes).cast(f"array<struct<{fields}>>"))
+    return SiteTree(leaves, inner, F.array(*boxes).cast(f"array<struct<{fields}>>"), top)
 
 
-def _descend(cand: DataFrame, children: Column) -> DataFrame:
-    """Replace each candidate node by those of its children that may hold the nearest site of its spot."""
-    per_spot = Window.partitionBy("lat", "lon")
-    boxed = cand.select("lat", "lon", *_AXES, "__best", F.inline(children))
-    below = [F.greatest(F.col(f"lo_{a}") - F.col(a), F.col(a) - F.col(f"hi_{a}"), F.lit(0.0)) for a in _AXES]
-    sides = [(F.abs(F.col(f"lo_{a}") - F.col(a)), F.abs(F.col(f"hi_{a}") - F.col(a))) for a in _AXES]
+def _within(box: Callable[[str], Column]) -> tuple[Column, Column]:
+    """How near a site of a box may be to the row's place, and how far its nearest one is at most, both squared."""
+    below = [F.greatest(box(f"lo_{a}") - F.col(a), F.col(a) - box(f"hi_{a}"), F.lit(0.0)) for a in _AXES]
+    sides = [(F.abs(box(f"lo_{a}") - F.col(a)), F.abs(box(f"hi_{a}") - F.col(a))) for a in _AXES]
     beyond = [F.greatest(*side) for side in sides]
     # a site lies on each face of its box, so that on one axis the nearer face may stand for the farther
     spared = F.greatest(*(far * far - F.least(*side) * F.least(*side) for far, side in zip(beyond, sides, strict=True)))
+    return _sum_of_squares(below), _sum_of_squares(beyond) - spared
+
+
+def _boxed(cand: DataFrame, children: Column) -> DataFrame:
+    """Each candidate's children, without those that its bound excludes."""
+    boxed = cand.select("lat", "lon", *_AXES, "__best", F.inline(children))
+    return boxed.filter(_within(F.col)[0] <= F.col("__best") + _SLACK)
+
+
+def _enter(spots: DataFrame, tree: SiteTree) -> DataFrame:
+    """The boxes of the top that may hold the nearest site of each spot.
+
+    Their bounds are numbers known beforehand, so a spot's best one excludes most boxes before they are rows.
+    """
+    # 4 is the largest squared distance on the sphere
+    bounds = [_within(lambda name, row=row: F.lit(row[name]))[1] for row in tree.top]
+    return _descend(spots.withColumn("__best", F.least(F.lit(4.0), F.lit(4.0), *bounds)), tree.root)
+
+
+def _descend(cand: DataFrame, children: Column) -> DataFrame:
+    """Replace each candidate node by those of its children that may hold the nearest site of its spot."""
+    per_spot = Window.partitionBy("lat", "lon")
+    near, far = _within(F.col)
     return (
-        boxed.withColumn("__near", _sum_of_squares(below))
-        # by the bound of the level above, which spares the window most rows
-        .filter(F.col("__near") <= F.col("__best") + _SLACK)
-        .withColumn("__best", F.least("__best", F.min(_sum_of_squares(beyond) - spared).over(per_spot)))
+        _boxed(cand, children)
+        .withColumn("__near", near)
+        .select("lat", "lon", *_AXES, "__near", F.least("__best", F.min(far).over(per_spot)).alias("__best"), "__node")
         .filter(F.col("__near") <= F.col("__best") + _SLACK)
         .select("lat", "lon", *_AXES, "__best", "__node")
     )
@@ -146,8 +167,7 @@ def _descend(cand: DataFrame, children: Column) -> DataFrame:
 
 def leaf_candidates(spots: DataFrame, tree: SiteTree) -> DataFrame:
     """The leaves (``__node``) that may hold the nearest site of each spot (lat, lon, x, y, z)."""
-    # 4 is the largest squared distance on the sphere
-    cand = _descend(spots.withColumn("__best", F.lit(4.0)), tree.root)
+    cand = _enter(spots, tree)
     for level in reversed(tree.inner):
         joined = spread_join(cand, level.select("__node", "__children"), "__node")
         cand = _descend(joined.drop("__node"), F.col("__children"))
@@ -176,11 +196,14 @@ def nearest_site(
     cand = leaf_candidates(spots.repartition(parts, "lat", "lon").withColumns({"x": x, "y": y, "z": z}), tree)
 
     met = spread_join(cand, tree.leaves.select("__node", F.col("__sites").alias("__s")), "__node")
-    met = met.select("lat", "lon", *_AXES, F.explode("__s").alias("__s"))
-    distance = _sum_of_squares([F.col(a) - F.col(f"__s.{a}") for a in _AXES])
+
+    def measured(site: Column) -> Column:
+        return F.struct(_sum_of_squares([F.col(a) - site[a] for a in _AXES]).alias("d"), site["__site"].alias("s"))
+
+    # the nearest of a leaf is found in its row, so that a row per leaf is compared and not one per site
     found = (
         met.groupBy("lat", "lon")
-        .agg(F.min(F.struct(distance.alias("d"), F.col("__s.__site").alias("s"))).alias("__best"))
+        .agg(F.min(F.array_min(F.transform("__s", measured))).alias("__best"))
         .select(
             F.col("lat").alias(lat), F.col("lon").alias(lon),
             *[F.col(f"__best.s.{c}").alias(name) for c, name in keep.items()],

@@ -349,3 +349,12 @@ def test_null_ratio_and_union(spark):
     assert analytics.null_ratio(df, "y").first()[0] == 0.5
     assert analytics.null_ratio(df.limit(0), "y").first()[0] is None
     assert analytics.union_parts([df, df.select("y", "x")]).count() == 4
+
+
+def test_a_leaf_is_one_row_of_the_last_comparison(spark):
+    rnd = random.Random(9)
+    sites = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(300)]
+    point = spark.createDataFrame([(59.8, 10.4)], "la double, lo double")
+    found = lookup.nearest_site(point, spark.createDataFrame(sites, SITE), "la", "lo", {"site_id": "near"})
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" in text and "explode" not in text
