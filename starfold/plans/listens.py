@@ -64,7 +64,8 @@ def users(played: DataFrame) -> DataFrame:
 
 def latest_users(played: DataFrame) -> DataFrame:
     """One row per user, with the level of the latest play."""
-    dated = project(played, {**USERS, "ts": "ts"})
+    # a row per version of a user first, by hash: picking the latest row sorts all that it is given
+    dated = project(played, {**USERS, "ts": "ts"}).groupBy(*USERS).agg(F.max("ts").alias("ts"))
     return latest_per_key(dated, ["user_id"], ["ts", "level"]).drop("ts")
 
 

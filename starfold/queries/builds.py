@@ -128,10 +128,10 @@ def dated_listen_dir(t: Tables) -> str:
     """Songs, and the whole log as the files of two run dates."""
 
     def write(path: str) -> None:
-        write_json(roles.songs(t).withColumn("shelf", F.col("artist_id")), f"{path}/song_data", ["shelf"])
-        even = F.month(F.timestamp_millis("ts")) % 2 == 0
+        write_json(roles.songs(t).withColumn("shelf", F.col("artist_id")), f"{path}/song_data", ["shelf"], compression="gzip")
+        even = F.month(F.timestamp_millis(roles.heard_at())) % 2 == 0
         day = F.when(even, F.lit(str(RUN_DATES[0]))).otherwise(F.lit(str(RUN_DATES[1])))
-        write_json(roles.listens(t).withColumn("run", day), f"{path}/log_data", ["run"])
+        roles.write_listens(roles.heard_lines(t), f"{path}/log_data", {"run": day})
 
     return t.staged("dated-listens", write)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starfold import schemas
 from starfold.operators.joins import spread_join
 from starfold.queries.registry import Tables
-from starfold.sinks.files import write_csv, write_json, write_parquet
+from starfold.sinks.files import rebalanced, write_csv, write_json, write_parquet
 
 
 def initcap_sql(text: str) -> str:
@@ -76,18 +76,31 @@ def songs(t: Tables) -> DataFrame:
     )
 
 
-def listens(t: Tables) -> DataFrame:
-    """The listen log: a line is a play of its part unless returned; undiscounted plays are of live versions."""
+def heard_lines(t: Tables) -> DataFrame:
+    """The lines with their part's brand: what the listens are told from, in few bytes."""
     lines = t.lineitem.select(
         F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    df = spread_join(lines, t.part.select("p_partkey", "p_brand"), "p_partkey")
+    return spread_join(lines, t.part.select("p_partkey", "p_brand"), "p_partkey")
+
+
+def heard_at() -> F.Column:
+    after = (F.col("l_linenumber") * 60000 + F.col("l_quantity") * 1001).cast("bigint")
+    return F.unix_millis(F.col("l_shipdate").cast("timestamp")) + after
+
+
+def listens(t: Tables) -> DataFrame:
+    """The listen log: a line is a play of its part unless returned; undiscounted plays are of live versions."""
+    return told(heard_lines(t))
+
+
+def told(lines: DataFrame, *keep: str) -> DataFrame:
+    """The listens of ``heard_lines``, beside their columns ``keep``."""
     play = F.col("l_returnflag") != "R"
     who = F.col("l_suppkey").cast("string")
     live = F.when(F.col("l_discount") == 0, " (live)").otherwise("")
-    after = (F.col("l_linenumber") * 60000 + F.col("l_quantity") * 1001).cast("bigint")
-    return df.select(
+    return lines.select(
         F.when(play, F.col("p_brand")).alias("artist"),
         F.lit("Logged In").alias("auth"),
         _text("First", who).alias("firstName"),
@@ -103,20 +116,29 @@ def listens(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("sessionId"),
         F.when(play, _text("Song ", _pair("p_partkey").cast("string"), live)).alias("song"),
         F.lit(200).alias("status"),
-        (F.unix_millis(F.col("l_shipdate").cast("timestamp")) + after).alias("ts"),
+        heard_at().alias("ts"),
         _text("agent ", F.col("l_quantity").cast("int").cast("string")).alias("userAgent"),
         who.alias("userId"),
+        *keep,
     )
 
 
+def write_listens(lines: DataFrame, path: str, folders: dict[str, F.Column]) -> None:
+    """Write the listens of ``lines`` as compressed JSON, in ``folders`` given over the lines.
+
+    The lines are brought together and sorted by folder while they are narrow; their texts are made on writing.
+    """
+    together = rebalanced(lines.withColumns(folders), *folders).sortWithinPartitions(*folders)
+    write_json(told(together, *folders), path, [*folders], rebalance=False, compression="gzip")
+
+
 def listen_dir(t: Tables) -> str:
     """Songs and listens as nested JSON folders, the log by year and month."""
 
     def write(path: str) -> None:
-        write_json(songs(t).withColumn("shelf", F.col("artist_id")), f"{path}/song_data", ["shelf"])
-        when = F.timestamp_millis("ts")
-        dated = listens(t).withColumns({"log_year": F.year(when), "log_month": F.month(when)})
-        write_json(dated, f"{path}/log_data", ["log_year", "log_month"])
+        write_json(songs(t).withColumn("shelf", F.col("artist_id")), f"{path}/song_data", ["shelf"], compression="gzip")
+        when = F.timestamp_millis(heard_at())
+        write_listens(heard_lines(t), f"{path}/log_data", {"log_year": F.year(when), "log_month": F.month(when)})
 
     return t.staged("listens", write)
 

@@ -6,13 +6,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from starfold import schemas
 
 # Fixed value: the characters that Spark escapes in the names of partition folders.
 ESCAPED = "\"#%'*/:=?\\{[]^"
+# Rows of a compressed text file: some 200 MB of wide rows, which one task reads as a whole.
+PACKED_ROWS = 500_000
 
 
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
@@ -84,23 +86,38 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write JSON lines, in nested folders if ``partition_by`` is given."""
+def write_json(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True, compression: str | None = None
+) -> None:
+    """Write JSON lines, in nested folders if ``partition_by`` is given.
+
+    ``rebalance`` off saves a shuffle for rows that already lie together by partition. Readers cannot split
+    a file written with ``compression``, so that one holds ``PACKED_ROWS`` rows at most.
+    """
+    if partition_by and rebalance:
+        df = rebalanced(df, *partition_by)
+    writer = _packed(df.write.mode("overwrite"), compression)
     if partition_by:
-        rebalanced(df, *partition_by).write.mode("overwrite").partitionBy(*partition_by).json(path)
-    else:
-        df.write.mode("overwrite").json(path)
+        writer = writer.partitionBy(*partition_by)
+    writer.json(path)
+
+
+def _packed(writer: DataFrameWriter, compression: str | None) -> DataFrameWriter:
+    if compression is None:
+        return writer
+    return writer.option("compression", compression).option("maxRecordsPerFile", PACKED_ROWS)
 
 
 def write_csv(
-    df: DataFrame, path: str, quote_all: bool = True, sep: str = ",", encoding: str = "UTF-8"
+    df: DataFrame, path: str, quote_all: bool = True, sep: str = ",", encoding: str = "UTF-8",
+    compression: str | None = None,
 ) -> None:
-    """Write CSV with a header line.
+    """Write CSV with a header line; ``compression`` as in ``write_json``.
 
     Texts with line breaks are quoted like others; a reader must be told to expect them (``multi_line``).
     """
     (
-        df.write.mode("overwrite")
+        _packed(df.write.mode("overwrite"), compression)
         .option("header", True)
         .option("quoteAll", quote_all)
         .option("escape", '"')

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 LATIN_1 = "ISO-8859-1"
+# The files that a recursive read takes, plain or compressed.
+JSON_FILES = "{*.json,*.json.gz}"
 
 
 def read_json(
@@ -22,7 +24,7 @@ def read_json(
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", JSON_FILES)
     return reader.json(path if isinstance(path, str) else list(path))
 
 
@@ -42,7 +44,7 @@ def spelled_keys(spark: SparkSession, path: str | Sequence[str], recursive: bool
 def _lines(spark: SparkSession, path: str | Sequence[str], recursive: bool) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", recursive)
     if recursive:
-        reader = reader.option("pathGlobFilter", "*.json")
+        reader = reader.option("pathGlobFilter", JSON_FILES)
     return reader.text(path if isinstance(path, str) else list(path)).filter(F.trim("value") != "")
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starfold import schemas
+from starfold.queries import roles
 from starfold.session import shared_dir
 from starfold.sinks import files as sinks
 from starfold.sources import files as sources
@@ -185,3 +186,34 @@ def test_ingest_keeps_sources_apart(spark, tmp_path):
     # a lost progress folder: the files are read again, as another stream
     ingest.ingest_new_files(spark, str(tmp_path / "one"), schema, table, str(tmp_path / "progress-new"), ["k"], ["ts"])
     assert rows(ingest.current_rows(spark, table, ["k"], ["ts"])) == [("a", 1, 1), ("b", 1, 1)]
+
+
+def test_compressed_json_is_read_beside_plain_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "PACKED_ROWS", 10)
+    df = spark.range(25).select("id", (F.col("id") % 2).alias("k")).coalesce(1)
+    sinks.write_json(df, str(tmp_path / "packed"), ["k"], compression="gzip")
+    files = list((tmp_path / "packed").rglob("*.json.gz"))
+    # a packed file cannot be split, so it is short
+    assert len(files) == 4 and not list((tmp_path / "packed").rglob("*.json"))
+    sinks.write_json(spark.range(100, 103), str(tmp_path / "plain"))
+    found = sources.read_json(spark, str(tmp_path), "id BIGINT", recursive=True)
+    assert sorted(r.id for r in found.collect()) == [*range(25), 100, 101, 102]
+
+
+def test_listens_are_shuffled_before_their_texts_are_made(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [(k, k, 1, 1, 2.0, 0.0, "NR"[k % 2], "O", dt.datetime(2024, 1 + k % 3, 1), "Brand#1") for k in range(12)],
+        "p_partkey long, l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp, p_brand string",
+    )
+    plans = []
+    write, roles.write_json = roles.write_json, lambda df, *a, **k: (plans.append(df), write(df, *a, **k))
+    try:
+        roles.write_listens(lines, str(tmp_path), {"log_month": F.month(F.timestamp_millis(roles.heard_at()))})
+    finally:
+        roles.write_json = write
+    text = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Logged In") < text.index("RebalancePartitions") and "userAgent" not in text[text.index("RebalancePartitions"):]
+    got = sources.read_json(spark, str(tmp_path), schemas.LISTEN_LOG, recursive=True)
+    expected = roles.told(lines)
+    assert got.exceptAll(expected.select(*got.columns)).count() == 0 and got.count() == 12

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starfold import schemas
 from starfold.operators.quality import QualityError
-from starfold.plans import arrivals, daily, keyed, lake, query_tables, warehouse
+from starfold.plans import arrivals, daily, keyed, lake, listens, query_tables, warehouse
 
 
 def rows(df):
@@ -297,3 +297,13 @@ def test_demographics(spark):
     clean = arrivals.clean_demographics(raw)
     assert clean.columns == schemas.names(schemas.DEMOGRAPHICS)
     assert clean.select("median_age", "foreign_born", "city_state_code").first() == (33.8, 5, "SILVER SPRING, MD")
+
+
+def test_latest_users_meet_as_versions(spark):
+    row = "struct<ts:long,userId:string,firstName:string,lastName:string,gender:string,level:string>"
+    data = [(t, "u", "A", "B", "F", "free" if t < 5 else "paid") for t in range(9)] + [(None, "u", "A", "B", "F", "void"), (None, "n", "C", "D", "M", "free")]
+    played = spark.createDataFrame(data, row)
+    found = listens.latest_users(played)
+    assert sorted(tuple(r) for r in found.collect()) == [("n", "C", "D", "M", "free"), ("u", "A", "B", "F", "paid")]
+    # the plays themselves are counted up by hash, not sorted
+    assert "HashAggregate" in found._jdf.queryExecution().executedPlan().toString()
