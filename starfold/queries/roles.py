@@ -148,7 +148,7 @@ def event_csv_dir(t: Tables) -> str:
 
     def write(path: str) -> None:
         cols = schemas.names(schemas.EVENT_CSV)
-        write_csv(listens(t).select(*cols), path)
+        write_csv(listens(t).select(*cols), path, compression="gzip")
 
     return t.staged("event-csv", write)
 
