@@ -31,8 +31,10 @@ def keyed_table(events: DataFrame, table: str, order: Sequence[str]) -> DataFram
     """The rows of one query table: the last row of each key, length as a 32-bit float."""
     partition, cluster, cols = TABLES[table]
     keys = [*partition, *cluster]
+    # keys hardly repeat, so their rows are brought together before they are sorted, in tasks of the shuffle's size
+    rows = events.select(*keys, *cols, *[c for c in order if c not in keys + cols]).repartition(*keys)
     # the other columns break ties, so that the last row does not depend on how files are read
-    rows = latest_per_key(events.select(*keys, *cols, *[c for c in order if c not in keys + cols]), keys, [*order, *cols])
+    rows = latest_per_key(rows, keys, [*order, *cols])
     rows = rows.select(*keys, *cols)
     return rows.withColumn("length", F.col("length").cast("float")) if "length" in cols else rows
 

@@ -307,3 +307,13 @@ def test_latest_users_meet_as_versions(spark):
     assert sorted(tuple(r) for r in found.collect()) == [("n", "C", "D", "M", "free"), ("u", "A", "B", "F", "paid")]
     # the plays themselves are counted up by hash, not sorted
     assert "HashAggregate" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_query_tables_sort_after_the_shuffle(spark):
+    names = "session_id long, item_in_session int, artist string, song_title string, length double, ts double"
+    events = spark.createDataFrame([(1, 1, "a", "s", 2.0, 5.0), (1, 1, "b", "t", 3.0, 6.0), (2, 1, "a", "s", 2.0, 5.0)], names)
+    table = query_tables.keyed_table(events, "session_items", ["ts"])
+    assert sorted(tuple(r) for r in table.collect()) == [(1, 1, "b", "t", 3.0), (2, 1, "a", "s", 2.0)]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    initial = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert "Aggregate" not in initial[initial.index("Exchange"):]
