@@ -42,6 +42,6 @@ def run_lake(spark: SparkSession, in_dir: str, out_dir: str, users: str = "disti
     parts = time_parts(F.col("start_time"))
     numbered = with_row_id(fact, L.SONGPLAYS, "songplay_id", path=f"{out_dir}/staging/numbered")
     dated_fact = numbered.select("songplay_id", *L.SONGPLAYS, parts["year"].alias("year"), parts["month"].alias("month"))
-    # numbered rows lie in time order, so each task holds few months
-    write_parquet(dated_fact, f"{out_dir}/songplays", ["year", "month"], rebalance=False)
+    # a writer sorts its rows by folder, and a scan's task holds far more rows than a shuffle's
+    write_parquet(dated_fact, f"{out_dir}/songplays", ["year", "month"])
     return spark.read.schema(dated_fact.schema).parquet(f"{out_dir}/songplays").select(*dated_fact.columns)

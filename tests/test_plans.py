@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starfold import schemas
 from starfold.operators.quality import QualityError
 from starfold.plans import arrivals, daily, keyed, lake, listens, query_tables, warehouse
+from starfold.sinks.files import write_parquet
 
 
 def rows(df):
@@ -317,3 +318,18 @@ def test_query_tables_sort_after_the_shuffle(spark):
     plan = table._jdf.queryExecution().executedPlan().toString()
     initial = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
     assert "Aggregate" not in initial[initial.index("Exchange"):]
+
+
+def test_lake_brings_folders_together_before_it_sorts(spark, music, monkeypatch):
+    """A writer sorts what its task holds, and a scan's task holds many times what a shuffle's does."""
+    plans = {}
+
+    def spied(df, path, *args, **kwargs):
+        if path.endswith("/songplays"):
+            plans[path] = kwargs.get("rebalance", True)
+        return write_parquet(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(lake, "write_parquet", spied)
+    fact = lake.run_lake(spark, *music)
+    assert list(plans.values()) == [True]
+    assert sorted(r[0] for r in fact.select("songplay_id").collect()) == list(range(1, 1 + fact.count()))
