@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starfold.operators.dims import distinct_dim, latest_per_key, project
-from starfold.sinks.files import materialize
+from starfold.sinks.files import distinct_stored, materialize
 
 # Fixed value: the page of a log row that is a play.
 PLAY_PAGE = "NextSong"
@@ -43,10 +43,10 @@ PLAY_COLUMNS = [
 
 def staged_plays(log: DataFrame, path: str, distinct: bool = False) -> DataFrame:
     """The plays of a log as a staging table, which the fact, users and time are then built from."""
-    rows = plays(log)
+    if not distinct:
+        return materialize(plays(log).select(*PLAY_COLUMNS), path)
     # before columns are dropped, so that only rows repeated as a whole count as one
-    rows = rows.distinct() if distinct else rows
-    return materialize(rows.select(*PLAY_COLUMNS), path)
+    return distinct_stored(materialize(plays(log), path), f"{path}-once").select(*PLAY_COLUMNS)
 
 
 def songs(staged: DataFrame) -> DataFrame:

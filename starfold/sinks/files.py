@@ -15,6 +15,8 @@ from starfold import schemas
 ESCAPED = "\"#%'*/:=?\\{[]^"
 # Rows of a compressed text file: some 200 MB of wide rows, which one task reads as a whole.
 PACKED_ROWS = 500_000
+# Hashes of repeated rows (8 bytes each) that are broadcast.
+MOST_SHARED = 1_000_000
 
 
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
@@ -86,6 +88,26 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def distinct_stored(stored: DataFrame, path: str, most: int = MOST_SHARED) -> DataFrame:
+    """The distinct rows of a stored table, in which few rows repeat.
+
+    Rows are equal only if their hashes are, so the hashes are counted first, and whole rows are moved and compared
+    only where a hash occurs more than once. Without any such hash the stored table itself is the result; else the distinct rows
+    are written below ``path``. More than ``most`` shared hashes are not broadcast: then all rows are moved.
+    """
+    hashed = stored.withColumn("__hash", F.xxhash64(*stored.columns))
+    counts = hashed.groupBy("__hash").agg(F.count("*").alias("__n"))
+    shared = materialize(counts.filter(F.col("__n") > 1).select("__hash"), f"{path}/shared")
+    found = shared.count()
+    if not found:
+        return stored
+    if found > most:
+        return materialize(stored.distinct(), f"{path}/rows")
+    marks = F.broadcast(shared)
+    alone, alike = hashed.join(marks, "__hash", "left_anti"), hashed.join(marks, "__hash", "left_semi")
+    return materialize(alone.unionByName(alike.distinct()).drop("__hash"), f"{path}/rows")
+
+
 def write_json(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True, compression: str | None = None
 ) -> None:

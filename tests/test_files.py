@@ -217,3 +217,13 @@ def test_listens_are_shuffled_before_their_texts_are_made(spark, tmp_path):
     got = sources.read_json(spark, str(tmp_path), schemas.LISTEN_LOG, recursive=True)
     expected = roles.told(lines)
     assert got.exceptAll(expected.select(*got.columns)).count() == 0 and got.count() == 12
+
+
+def test_rows_whose_hashes_meet_are_compared_whole(spark, tmp_path):
+    """A null leaves a hash as it is, so a text under either column has one hash but is two rows."""
+    df = spark.createDataFrame([("x", None), (None, "x"), ("x", None), ("y", "z"), (None, None)], "a STRING, b STRING")
+    want = sorted([("x", None), (None, "x"), ("y", "z"), (None, None)], key=str)
+    for most in (1_000, 0):
+        stored = sinks.materialize(df, str(tmp_path / f"in{most}"))
+        got = sinks.distinct_stored(stored, str(tmp_path / f"out{most}"), most)
+        assert sorted([tuple(r) for r in got.collect()], key=str) == want

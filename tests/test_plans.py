@@ -11,6 +11,7 @@ from starfold import schemas
 from starfold.operators.quality import QualityError
 from starfold.plans import arrivals, daily, keyed, lake, listens, query_tables, warehouse
 from starfold.sinks.files import write_parquet
+from starfold.sources.files import read_json
 
 
 def rows(df):
@@ -333,3 +334,15 @@ def test_lake_brings_folders_together_before_it_sorts(spark, music, monkeypatch)
     fact = lake.run_lake(spark, *music)
     assert list(plans.values()) == [True]
     assert sorted(r[0] for r in fact.select("songplay_id").collect()) == list(range(1, 1 + fact.count()))
+
+
+def test_plays_without_repeats_are_staged_as_they_are(spark, music):
+    """Whole rows are moved only where hashes repeat, so that a log without repeats is written once."""
+    in_dir, out = music
+    log = read_json(spark, f"{in_dir}/log_data", schemas.LISTEN_LOG, recursive=True)
+    once = listens.staged_plays(log.where("itemInSession < 2"), f"{out}/a", distinct=True)
+    assert once.count() == 4 and not Path(f"{out}/a-once/rows").exists()
+    assert {Path(f).parent.name for f in once.inputFiles()} == {"a"}
+    # and where rows repeat, each is kept once
+    both = listens.staged_plays(log, f"{out}/b", distinct=True)
+    assert rows(both) == rows(listens.plays(log).distinct().select(*listens.PLAY_COLUMNS)) and both.count() == 5
