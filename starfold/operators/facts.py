@@ -84,7 +84,7 @@ def with_row_id(
         .withColumn("__part", F.spark_partition_id())
         # the low 33 bits of this id count the rows of a partition
         .withColumn("__off", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .write.mode("overwrite").parquet(path)
+        .write.mode("overwrite").option("compression", "zstd").parquet(path)
     )
     ranged = spark.read.parquet(path)
     sizes = ranged.groupBy("__part").agg((F.max("__off") + 1).alias("__n"))

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -346,3 +347,13 @@ def test_plays_without_repeats_are_staged_as_they_are(spark, music):
     # and where rows repeat, each is kept once
     both = listens.staged_plays(log, f"{out}/b", distinct=True)
     assert rows(both) == rows(listens.plays(log).distinct().select(*listens.PLAY_COLUMNS)) and both.count() == 5
+
+
+def test_tables_are_written_compressed(spark, music):
+    in_dir, out = music
+    warehouse.run_warehouse(spark, in_dir, out)
+    codecs = {
+        pq.ParquetFile(f).metadata.row_group(0).column(0).compression
+        for f in Path(out).rglob("*.parquet") if pq.ParquetFile(f).metadata.num_row_groups
+    }
+    assert codecs == {"ZSTD"}
