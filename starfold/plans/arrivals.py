@@ -14,7 +14,8 @@ from starfold.operators import quality
 from starfold.operators.analytics import topk_then_join
 from starfold.operators.dims import calendar_mean
 from starfold.operators.lookup import lookup_name, map_codes, nearest_site
-from starfold.sinks.files import load_table, open_table, write_parquet
+from starfold.session import scratch_dir
+from starfold.sinks.files import load_table, materialize, open_table, write_parquet
 from starfold.sources.files import read_csv, read_parquet
 
 # The coded columns, each with the schema of its dictionary file.
@@ -67,6 +68,8 @@ def clean_temperature(
     mean = calendar_mean(
         home, "dt", ["City", "Country", "Latitude", "Longitude"], "AverageTemperature", "avg_temperature", scale
     ).withColumns({c: geo.signed_degrees(F.col(c)) for c in ("Latitude", "Longitude")})
+    # the search reads its points twice, which would read and average all measurements twice
+    mean = materialize(mean, scratch_dir(raw.sparkSession, "mean-temperature"))
     sites = gazetteer.select(F.col("place_id").alias("site_id"), "lat", "lon", "admin1")
     with_state = nearest_site(mean, sites, "Latitude", "Longitude", {"admin1": "state"})
     coded = lookup_name(with_state, "state", states, F.initcap("value"), "key", "state_code")

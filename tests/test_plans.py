@@ -349,6 +349,21 @@ def test_plays_without_repeats_are_staged_as_they_are(spark, music):
     assert rows(both) == rows(listens.plays(log).distinct().select(*listens.PLAY_COLUMNS)) and both.count() == 5
 
 
+def test_temperature_reads_the_measurements_once(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [(dt.date(2010, 1, 1), t, 0.1, "Town", "United States", "10.00N", "20.00W") for t in (1.0, 2.0)],
+        schemas.TEMPERATURE_RAW,
+    )
+    raw.write.csv(str(tmp_path / "measured"))
+    raw = spark.read.schema(schemas.TEMPERATURE_RAW).csv(str(tmp_path / "measured"))
+    places = spark.createDataFrame([("p", 10.0, -20.0, "Ohio")], "place_id STRING, lat DOUBLE, lon DOUBLE, admin1 STRING")
+    states = spark.createDataFrame([("OH", "OHIO")], schemas.DICTIONARY_TEXT_KEY)
+    got = arrivals.clean_temperature(raw, places, states)
+    assert rows(got.select("month", "day", "state_code", "avg_temperature")) == [(1, 1, "OH", 1.5)]
+    # the mean is stored, so neither the search nor the join that follows it reads the measurements again
+    assert not [f for f in got.inputFiles() if "measured" in f]
+
+
 def test_tables_are_written_compressed(spark, music):
     in_dir, out = music
     warehouse.run_warehouse(spark, in_dir, out)
